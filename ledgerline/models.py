@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ledgerline.functions import text_key
 from ledgerline.plans import core, issues, marts, staging
@@ -22,8 +22,8 @@ MARTS = ("fct_mrr", "customer_ltv", "subscription_churn")
 class Models:
     """Lazy relations over `raw`; nothing runs until one is acted on.
 
-    `keep` is applied to every relation several others read: the identity in a single query, a
-    write to shared storage in a refresh. With `normalize_keys` ids are trimmed before anything else;
+    `keep` is applied to the marts, the issue tables and whatever several others read: the identity
+    in a single query, a write to shared storage in a refresh. With `normalize_keys` ids are trimmed before anything else;
     by default ids are compared as they arrived, and a padded id is an id of its own.
     """
 
@@ -90,17 +90,19 @@ class Models:
 
     @cached_property
     def fct_mrr(self) -> DataFrame:
-        return marts.fct_mrr(self.int_paid_invoices_eur)
+        return self.keep(marts.fct_mrr(self.int_paid_invoices_eur), "fct_mrr")
 
     @cached_property
     def customer_ltv(self) -> DataFrame:
-        return marts.customer_ltv(
+        frame = marts.customer_ltv(
             self.stg_customers, self.int_subscriptions, self.int_paid_invoices_eur
         )
+        return self.keep(frame, "customer_ltv")
 
     @cached_property
     def subscription_churn(self) -> DataFrame:
-        return marts.subscription_churn(self.int_subscriptions, self.as_of)
+        frame = marts.subscription_churn(self.int_subscriptions, self.as_of)
+        return self.keep(frame, "subscription_churn")
 
     @property
     def issue_tables(self) -> dict[str, DataFrame]:
@@ -113,6 +115,3 @@ class Models:
     @property
     def marts(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in MARTS}
-
-    def excluded_invoice_ids(self) -> DataFrame:
-        return self.issues_invoices.where(F.col("excluded_from_marts")).select("invoice_id")

@@ -1,4 +1,4 @@
-from ledgerline.operators.keys import first_per_key, keyed, sql_not_in, with_flags, with_row_id
+from ledgerline.operators.keys import first_per_key, keyed, sql_not_in, with_row_id
 from ledgerline.operators.picks import current_status
 
 __all__ = [
@@ -6,6 +6,5 @@ __all__ = [
     "first_per_key",
     "keyed",
     "sql_not_in",
-    "with_flags",
     "with_row_id",
 ]

@@ -58,21 +58,16 @@ def keyed(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
 def sql_not_in(df: DataFrame, key: str, excluded: DataFrame) -> DataFrame:
     """`key NOT IN (SELECT key FROM excluded)` with SQL's NULL rules, as a join that can shuffle.
 
-    Nothing excluded keeps every row. One NULL among the excluded keeps none. Otherwise rows with a
-    NULL key go, and the rest is an anti join. A literal NOT IN would instead have to broadcast the
-    excluded keys whole, whatever their number.
+    One NULL among the excluded keys keeps no row at all; else a NULL key is kept only if nothing is
+    excluded. So every excluded row also stands for NULL, and the anti join is null-safe. The test
+    for an excluded NULL is a filter on the key, which reaches the scan and reads next to nothing. A
+    literal NOT IN would instead have to broadcast the excluded keys whole, whatever their number.
     """
-    nulls = excluded.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("n_null")
+    null_excluded = excluded.where(F.col(key).isNull()).agg(F.count(F.lit(1))).scalar()
+    matches = keyed(excluded.select(F.explode(F.array(key, F.lit(None))).alias("_key")), "_key")
+    return df.where(null_excluded == 0).join(
+        matches, F.col(key).eqNullSafe(F.col("_key")), "left_anti"
     )
-    total, total_null = nulls.select("n").scalar(), nulls.select("n_null").scalar()
-    comparable = (total == 0) | ((total_null == 0) & F.col(key).isNotNull())
-    return df.where(comparable).join(keyed(excluded.select(key), key), key, "left_anti")
-
-
-def with_flags(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
-    """Add one boolean per rule."""
-    return df.withColumns(flags)
 
 
 def any_of(names: list[str]) -> Column:
