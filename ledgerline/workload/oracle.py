@@ -245,13 +245,16 @@ INVOICE_STATUSES = "('paid', 'open', 'failed')"
 CURRENCIES = "('EUR', 'SEK')"
 
 
-def _with_views(sql: str) -> str:
-    """Prefix a statement with the views it names, directly or through another view."""
+def with_views(sql: str, given: tuple[str, ...] = ()) -> str:
+    """Prefix a statement with the views it names, directly or through another view.
+
+    Names in `given` are taken to exist already.
+    """
     needed: set[str] = set()
 
     def visit(text: str) -> None:
         for name in VIEWS:
-            if name not in needed and re.search(rf"\b(FROM|JOIN|,)\s+{name}\b", text):
+            if name not in needed and name not in given and re.search(rf"\b(FROM|JOIN|,)\s+{name}\b", text):
                 needed.add(name)
                 visit(VIEWS[name])
 
@@ -576,7 +579,7 @@ QUERIES = {
     "having": """
         SELECT customer_id, count(*) AS n, min(start_date) AS first_start
         FROM stg_subscriptions GROUP BY customer_id
-        HAVING count(*) > 10 AND min(start_date) < DATE '1993-01-01'""",
+        HAVING count(*) > 14 AND min(start_date) < DATE '1995-03-01'""",
     "union_all": """
         SELECT 'subscriptions' AS source, subscription_id AS key,
                CAST(monthly_price AS DECIMAL(18,2)) AS value, CAST(start_date AS VARCHAR) AS day
@@ -616,4 +619,4 @@ QUERIES = {
         FROM invoices""",
 }
 
-ORACLE_SQL = {name: _with_views(sql) for name, sql in QUERIES.items()}
+ORACLE_SQL = {name: with_views(sql) for name, sql in QUERIES.items()}

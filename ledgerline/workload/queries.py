@@ -528,12 +528,12 @@ def ordered_distinct_string_agg(spark, sf_dir):
 
 @query
 def having(spark, sf_dir):
-    """Customers holding more than ten subscriptions, the earliest before 1993."""
+    """Customers holding more than 14 subscriptions, the first of them from before March 1995."""
     subscriptions = _models(spark, sf_dir).stg_subscriptions
     return (
         subscriptions.groupBy("customer_id")
         .agg(F.count(F.lit(1)).alias("n"), F.min("start_date").alias("first_start"))
-        .where((F.col("n") > 10) & (F.col("first_start") < F.lit("1993-01-01").cast("date")))
+        .where((F.col("n") > 14) & (F.col("first_start") < F.lit("1995-03-01").cast("date")))
     )
 
 
