@@ -60,9 +60,14 @@ class Models:
         frame = issues.issues_customers(self.raw["customers"], self.as_of)
         return self.keep(frame, "issues_customers")
 
+    @cached_property
+    def flagged_subscriptions(self) -> DataFrame:
+        frame = issues.flagged_subscriptions(self.raw["subscriptions"], self.raw["customers"])
+        return self.keep(frame, "flagged_subscriptions")
+
     @cached_property
     def issues_subscriptions(self) -> DataFrame:
-        frame = issues.issues_subscriptions(self.raw["subscriptions"], self.raw["customers"])
+        frame = issues.issues_subscriptions(self.flagged_subscriptions)
         return self.keep(frame, "issues_subscriptions")
 
     @cached_property
@@ -78,7 +83,7 @@ class Models:
 
     @cached_property
     def int_subscriptions(self) -> DataFrame:
-        frame = core.int_subscriptions(self.raw["subscriptions"], self.raw["customers"])
+        frame = core.int_subscriptions(self.flagged_subscriptions)
         return self.keep(frame, "int_subscriptions")
 
     @cached_property

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerline.functions import month_of, text_key, to_eur
 from ledgerline.operators import sql_not_in
-from ledgerline.plans.issues import flagged_subscriptions
 from ledgerline.plans.staging import clean_subscriptions
 from ledgerline.schemas import RATE, RATES_TO_EUR
 
@@ -17,14 +16,13 @@ def int_fx_rates(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS fx(currency, rate_to_eur)")
 
 
-def int_subscriptions(raw_subscriptions: DataFrame, raw_customers: DataFrame) -> DataFrame:
+def int_subscriptions(flagged_subscriptions: DataFrame) -> DataFrame:
     """Subscriptions that can be attributed and priced.
 
     Flags belong to the raw id and are looked up by the cleaned id, so a padded copy of an id takes
     the flags of the unpadded row, if there is one, and not its own. Both come from the same frame,
     which makes the lookup a window over the few spellings of one id instead of a self-join.
     """
-    flagged = flagged_subscriptions(raw_subscriptions, raw_customers)
     clean_id = text_key("subscription_id")
     owner = F.col("subscription_id") == clean_id
     # Partitioned by the hash as well, so that a later join does its own exchange (see `keyed`).
@@ -33,7 +31,7 @@ def int_subscriptions(raw_subscriptions: DataFrame, raw_customers: DataFrame) ->
     def flag_of_clean_id(flag: str):
         return F.coalesce(F.max(F.when(owner, F.col(flag))).over(spellings), F.lit(False))
 
-    usable = flagged.select(
+    usable = flagged_subscriptions.select(
         "*",
         flag_of_clean_id("excluded_from_marts").alias("_withheld"),
         flag_of_clean_id("has_invalid_end_date").alias("has_unreliable_end_date"),

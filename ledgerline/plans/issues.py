@@ -88,8 +88,8 @@ def flagged_subscriptions(raw_subscriptions: DataFrame, raw_customers: DataFrame
     ).withColumn("excluded_from_marts", any_of(["has_orphan_customer", "has_invalid_price"]))
 
 
-def issues_subscriptions(raw_subscriptions: DataFrame, raw_customers: DataFrame) -> DataFrame:
-    return flagged_subscriptions(raw_subscriptions, raw_customers).where(any_of(SUBSCRIPTION_FLAGS))
+def issues_subscriptions(flagged_subscriptions: DataFrame) -> DataFrame:
+    return flagged_subscriptions.where(any_of(SUBSCRIPTION_FLAGS))
 
 
 def issues_invoices(
