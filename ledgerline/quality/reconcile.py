@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
@@ -56,8 +57,9 @@ def problems(
         key = RAW_TABLES[name].key
         try:
             row = compare(name, key, source, read_copy(name)).first().asDict()
-        except PySparkException as e:
-            found.append(f"{name}: copy cannot be read ({e.getCondition()})")
+        except (PySparkException, Py4JJavaError) as e:
+            reason = e.getCondition() if isinstance(e, PySparkException) else e.java_exception
+            found.append(f"{name}: copy cannot be read ({reason})")
             continue
         counts[name] = row
         if row["source_rows"] != row["n_rows"]:

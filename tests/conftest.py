@@ -36,7 +36,7 @@ def spark():
         .config("spark.sql.warehouse.dir", "/tmp/ledgerline-warehouse")
         .getOrCreate()
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield configure(session)
     session.stop()
 
