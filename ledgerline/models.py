@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -29,7 +29,7 @@ class Models:
 
     def __init__(
         self,
-        raw: dict[str, DataFrame],
+        raw: Mapping[str, DataFrame],
         as_of: dt.date | str | None = None,
         *,
         rates: DataFrame | None = None,

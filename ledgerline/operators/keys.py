@@ -19,11 +19,10 @@ def with_row_id(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     dedupe. The id does not depend on file order, task order or retries.
     """
     names = columns or df.columns
-    # A value is prefixed so that NULL and an empty string hash differently.
-    parts = [
-        F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in names
-    ]
-    return df.withColumn(ROW_ID, F.sha2(F.concat_ws("\x1f", *parts), 256))
+    # Each value is preceded by its length, so no two rows spell the same text; NULL has none.
+    texts = [F.col(c).cast("string") for c in names]
+    parts = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("~")) for t in texts]
+    return df.withColumn(ROW_ID, F.sha2(F.concat(*parts), 256))
 
 
 def first_per_key(df: DataFrame, key: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -164,7 +165,7 @@ def no_quarantined_revenue(paid_invoices: DataFrame, issues_invoices: DataFrame)
     )
 
 
-def raw_checks(raw: dict[str, DataFrame], as_of: dt.date | str | None = None) -> list[Check]:
+def raw_checks(raw: Mapping[str, DataFrame], as_of: dt.date | str | None = None) -> list[Check]:
     customers, subscriptions, invoices = raw["customers"], raw["subscriptions"], raw["invoices"]
     return [
         not_null("customers", WARN, customers, "customer_id"),

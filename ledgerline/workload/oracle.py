@@ -431,8 +431,11 @@ def _reconciliation(copies: dict[str, str]) -> str:
 
 
 def _hashed(columns: str) -> str:
-    parts = ", ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '~')" for c in columns.split())
-    return f"sha256(concat_ws(chr(31), {parts}))"
+    parts = " || ".join(
+        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')"
+        for c in columns.split()
+    )
+    return f"sha256({parts})"
 
 
 QUERIES = {

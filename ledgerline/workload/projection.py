@@ -5,6 +5,8 @@ Nothing is written and no row is invented beyond the planted exact duplicates; s
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 AS_OF = "2001-01-01"
@@ -99,9 +101,22 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "customers": customers(spark, sf_dir),
-        "subscriptions": subscriptions(spark, sf_dir),
-        "invoices": invoices(spark, sf_dir),
-    }
+class RawTables(Mapping):
+    """The three projected tables by name; a table nobody asks for is never opened."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self.frames = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.frames:
+            self.frames[name] = PROJECTIONS[name](self.spark, self.sf_dir)
+        return self.frames[name]
+
+    def __iter__(self):
+        return iter(PROJECTIONS)
+
+    def __len__(self):
+        return len(PROJECTIONS)
+
+
+PROJECTIONS = {"customers": customers, "subscriptions": subscriptions, "invoices": invoices}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,7 +25,7 @@ from ledgerline.plans.issues import flagged_subscriptions
 from ledgerline.quality import checks, reconcile, rules
 from ledgerline.schemas import CURRENCIES, INVOICE_STATUSES, PLANS, SUBSCRIPTION_STATUSES
 from ledgerline.session import configure, materialise, shared_dir
-from ledgerline.workload.projection import AS_OF, raw_tables, table
+from ledgerline.workload.projection import AS_OF, RawTables, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,10 +38,10 @@ def query(fn: Query) -> Query:
 
 def _models(spark: SparkSession, sf_dir: str, **options) -> Models:
     configure(spark)
-    return Models(raw_tables(spark, sf_dir), AS_OF, **options)
+    return Models(RawTables(spark, sf_dir), AS_OF, **options)
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _raw(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return _models(spark, sf_dir).raw
 
 
