@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 TABLES = {
+    "customers": "Raw copy of the customers, neither cleaned nor deduplicated.",
+    "subscriptions": "Raw copy of the subscriptions; a customer may hold several.",
+    "invoices": "Raw copy of the monthly invoices.",
     "fct_mrr": "Recognised revenue per month and plan, paid invoices only, in EUR.",
     "customer_ltv": "One row per customer with revenue to date, holdings and current status.",
     "subscription_churn": "Cancellations and lost monthly revenue per cancellation month.",
@@ -14,6 +17,27 @@ TABLES = {
 }
 
 COLUMNS = {
+    "customers": {
+        "customer_id": "Business key, may repeat.",
+        "email": "Contact address as entered.",
+        "country": "Two-letter code; may be missing.",
+        "created_at": "Sign-up date.",
+    },
+    "subscriptions": {
+        "subscription_id": "Business key, may repeat.",
+        "customer_id": "Holder; may not exist among the customers.",
+        "plan_name": "Plan: starter, growth or scale once normalised.",
+        "monthly_price": "Monthly price in EUR.",
+        "end_date": "Set only for cancelled subscriptions; may lie ahead.",
+        "status": "Status: active, cancelled or paused once normalised.",
+    },
+    "invoices": {
+        "invoice_id": "Business key, unique at the source.",
+        "subscription_id": "Billed subscription; may not exist.",
+        "amount": "Amount in the invoice's currency.",
+        "currency": "Three-letter code: EUR or SEK once normalised.",
+        "status": "Status: paid, open or failed once normalised.",
+    },
     "fct_mrr": {
         "invoice_month": "First day of the invoice month.",
         "plan_name": "Plan the revenue belongs to.",

@@ -9,16 +9,13 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.errors import IngestError, MartContractError, RawValidationError
-from ledgerline.models import MARTS, Models
+from ledgerline.models import Models
 from ledgerline.operators import with_row_id
-from ledgerline.publish.describe import with_comments
 from ledgerline.publish.target import resolve_target
 from ledgerline.publish.versions import Versions
 from ledgerline.quality import reconcile
@@ -109,9 +106,9 @@ def refresh(
         rates=rates,
         normalize_keys=normalize_keys,
         # So the checks read the marts as written, not the plans that wrote them.
-        keep=lambda df, name: versions.stage(with_comments(df, name), run_id, name),
+        keep=lambda df, name: versions.stage(df, run_id, name),
     )
-    _write_together(spark, models)
+    models.build_together()
     checks = all_checks(models) + [quarantine_has_ids(models.issues_invoices)]
     summary = versions.stage(summarise(checks + (extra_checks or [])), run_id, "check_results")
 
@@ -124,17 +121,3 @@ def refresh(
     versions.create_views(f"billing_{target}")
     log.info("run %s published %s to %s", run_id, ", ".join(published), target)
     return Refresh(run_id, target, counts, summary, published)
-
-
-def _write_together(spark: SparkSession, models: Models) -> None:
-    """Write the relations in two waves, those of a wave at the same time.
-
-    First what others read, in order; then the marts and the rest, which only read what is written
-    by now. Overlapping them fills the cluster while one of them is down to its last tasks.
-    """
-    for name in ("flagged_subscriptions", "int_subscriptions", "int_paid_invoices_eur"):
-        getattr(models, name)
-    remaining = (*MARTS, "issues_customers")
-    with ThreadPoolExecutor(len(remaining)) as pool:
-        write = inheritable_thread_target(spark)(lambda name: getattr(models, name))
-        list(pool.map(write, remaining))

@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerline.publish.describe import TABLES, with_comments
+
 LOG_SCHEMA = "relation string, path string, run_id string, published_at timestamp"
 
 
@@ -27,7 +29,7 @@ class Versions:
     def stage(self, df: DataFrame, run_id: str, relation: str) -> DataFrame:
         """Write one relation of a run; not current until published. A retry replaces it."""
         path = self.path(run_id, relation)
-        df.write.mode("overwrite").parquet(path)
+        with_comments(df, relation).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
     def publish(self, run_id: str, relations: list[str]) -> None:
@@ -59,6 +61,8 @@ class Versions:
         """Point catalog views at the current versions."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         for relation, path in self.current().items():
+            comment = TABLES.get(relation, "").replace("'", "\\'")
             self.spark.sql(
-                f"CREATE OR REPLACE VIEW `{database}`.`{relation}` AS SELECT * FROM parquet.`{path}`"
+                f"CREATE OR REPLACE VIEW `{database}`.`{relation}` COMMENT '{comment}'"
+                f" AS SELECT * FROM parquet.`{path}`"
             )

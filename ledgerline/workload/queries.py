@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from functools import reduce
 
@@ -312,17 +313,10 @@ def dq_no_quarantined_revenue_probe(spark, sf_dir):
 
 def _kept_models(spark: SparkSession, sf_dir: str) -> Models:
     """Models whose shared relations are written once, for queries that read them many times."""
-    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}-{_next_run()}"
-    return _models(spark, sf_dir, keep=lambda df, name: materialise(df, name, folder))
-
-
-_runs = 0
-
-
-def _next_run() -> int:
-    global _runs
-    _runs += 1
-    return _runs
+    folder = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    models = _models(spark, sf_dir, keep=lambda df, name: materialise(df, name, folder))
+    models.build_together()
+    return models
 
 
 @query

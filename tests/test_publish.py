@@ -71,6 +71,9 @@ def test_refresh(spark, raw, tmp_path):
     assert rows(spark.table("billing_dev.subscription_churn"))[0]["is_future_cancellation"] is True
     comment = versions.read("customer_ltv").schema["country"].metadata["comment"]
     assert "UNKNOWN" in comment
+    described = rows(spark.sql("DESCRIBE TABLE EXTENDED billing_dev.customer_ltv"))
+    assert {r["col_name"]: r["comment"] for r in described}["country"] == comment
+    assert any("revenue to date" in (r["data_type"] or "") for r in described)
     assert done.raw_counts["customers"]["n_duplicates"] == 1
 
     # Again, under a new id: the same state.
