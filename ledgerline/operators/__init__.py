@@ -1,10 +1,12 @@
-from ledgerline.operators.keys import first_per_key, keyed, sql_not_in, with_row_id
+from ledgerline.operators.keys import any_of, first_per_key, keyed, sql_not_in, union_all, with_row_id
 from ledgerline.operators.picks import current_status
 
 __all__ = [
+    "any_of",
     "current_status",
     "first_per_key",
     "keyed",
     "sql_not_in",
+    "union_all",
     "with_row_id",
 ]

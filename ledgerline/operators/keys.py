@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.schemas import ROW_ID
@@ -39,7 +36,7 @@ def first_per_key(df: DataFrame, key: str) -> DataFrame:
         F.min(F.struct(*ordered)).alias("_row"),
         F.count(F.lit(1)).alias(COPIES),
     )
-    return rows.select(key, *[F.col(f"_row.{c}").alias(c) for c in payload], COPIES)
+    return rows.select(key, "_row.*", COPIES)
 
 
 def keyed(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
@@ -69,6 +66,14 @@ def sql_not_in(df: DataFrame, key: str, excluded: DataFrame) -> DataFrame:
     )
 
 
-def any_of(names: list[str]) -> Column:
+def any_of(flags: list[str]) -> Column:
     """OR over nullable flags."""
-    return reduce(or_, [F.col(n) for n in names])
+    return F.expr(" OR ".join(flags))
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    """UNION ALL by column name, paired up so that no plan is analysed once per frame after it."""
+    while len(frames) > 1:
+        pairs = [a.unionByName(b) for a, b in zip(frames[::2], frames[1::2])]
+        frames = pairs + frames[len(pairs) * 2 :]
+    return frames[0]

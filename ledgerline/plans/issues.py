@@ -11,8 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.functions import as_of_date, code, is_blank, is_not_an_email, is_unnormalised, label
-from ledgerline.operators import first_per_key, keyed
-from ledgerline.operators.keys import COPIES, any_of
+from ledgerline.operators import any_of, first_per_key, keyed, union_all
+from ledgerline.operators.keys import COPIES
 from ledgerline.schemas import CURRENCIES
 
 CUSTOMER_FLAGS = [
@@ -148,7 +148,4 @@ def issue_summary(issues: dict[str, DataFrame]) -> DataFrame:
             ).alias("totals")
         )
         parts.append(totals.select(F.lit(name).alias("issue_table"), F.inline("totals")))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return union_all(parts)

@@ -7,11 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.operators import keyed
+from ledgerline.operators import keyed, union_all
 
 WARN, ERROR, PASS = "warn", "error", "pass"
 
@@ -131,7 +130,7 @@ def summarise(checks: list[Check]) -> DataFrame:
     for group in shared.values():
         results = [_result(c, F.count_if(c.predicate)) for c in group]
         parts.append(group[0].frame.agg(F.array(*results).alias("results")))
-    counted = reduce(DataFrame.unionByName, parts).select(F.inline("results"))
+    counted = union_all(parts).select(F.inline("results"))
     return counted.withColumn(
         "outcome", F.when(F.col("failures") > F.col("tolerated"), F.col("severity")).otherwise(PASS)
     ).drop("tolerated")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,7 +18,14 @@ from ledgerline.functions import (
     to_eur,
 )
 from ledgerline.models import Models
-from ledgerline.operators import current_status, first_per_key, keyed, sql_not_in, with_row_id
+from ledgerline.operators import (
+    current_status,
+    first_per_key,
+    keyed,
+    sql_not_in,
+    with_row_id,
+)
+from ledgerline.operators import union_all as stacked
 from ledgerline.operators.keys import COPIES
 from ledgerline.plans.core import int_fx_rates
 from ledgerline.plans.issues import flagged_subscriptions
@@ -46,10 +52,6 @@ def _raw(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return _models(spark, sf_dir).raw
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 # --- relations -------------------------------------------------------------------------------
 
 
@@ -152,7 +154,7 @@ def dq_not_null(spark, sf_dir):
 def dq_unique(spark, sf_dir):
     keys = {"customers": "customer_id", "subscriptions": "subscription_id", "invoices": "invoice_id"}
     raw = _raw(spark, sf_dir)
-    return _union(
+    return stacked(
         [
             checks.unique(name, checks.WARN, raw[name], key).rows.select(
                 F.lit(name).alias("relation"), F.col(key).alias("value"), "n_records"
@@ -169,7 +171,7 @@ def dq_relationships(spark, sf_dir):
         ("subscriptions", "customer_id", "customers"),
         ("invoices", "subscription_id", "subscriptions"),
     ]
-    return _union(
+    return stacked(
         [
             checks.relationships(
                 name, checks.WARN, raw[name], column, raw[parent], column
@@ -190,7 +192,7 @@ def dq_accepted_values(spark, sf_dir):
         ("invoices", "status", INVOICE_STATUSES),
         ("invoices", "currency", CURRENCIES),
     ]
-    return _union(
+    return stacked(
         [
             checks.accepted_values(name, checks.WARN, raw[name], column, values).rows.select(
                 F.lit(name).alias("relation"),
@@ -259,7 +261,7 @@ def dq_mart_non_negative_probe(spark, sf_dir):
         ("customer_ltv", m.customer_ltv, "total_revenue_eur"),
         ("subscription_churn", m.subscription_churn, "mrr_lost_eur"),
     ]
-    return _union(
+    return stacked(
         [
             frame.agg(F.count(F.lit(1)).alias("n_rows"), F.min(value).alias("smallest")).select(
                 F.lit(name).alias("model"),
@@ -337,7 +339,7 @@ def raw_reconciliation(spark, sf_dir):
     """Projected tables against the copy an ingest would keep."""
     raw = _raw(spark, sf_dir)
     keys = {"customers": "customer_id", "subscriptions": "subscription_id", "invoices": "invoice_id"}
-    return _union(
+    return stacked(
         [
             reconcile.compare(name, key, raw[name], with_row_id(raw[name]))
             for name, key in keys.items()
@@ -350,7 +352,7 @@ def raw_reconciliation_deduplicated(spark, sf_dir):
     """The same against a copy that silently dropped duplicates; it must not count as faithful."""
     raw = _raw(spark, sf_dir)
     keys = {"customers": "customer_id", "subscriptions": "subscription_id"}
-    return _union(
+    return stacked(
         [
             reconcile.compare(name, key, raw[name], first_per_key(raw[name], key))
             for name, key in keys.items()
