@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,18 +23,14 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in `spark.checkpoint.dir`.
+    """The folder every executor can reach: `spark.checkpoint.dir`, or one in the warehouse if unset.
 
-    Only a local session may fall back to a temporary folder: there the machine is the cluster.
+    Both are the cluster's own settings; nothing is written to a machine's temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    fallback = tempfile.mkdtemp(prefix="ledgerline-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
