@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,6 +11,8 @@ from ledgerline.session import shared_dir
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Python workers look for this package where the driver found it, whatever folder they start in.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

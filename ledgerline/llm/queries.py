@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import quality
+from ledgerline.llm import decontaminate, quality
 from ledgerline.llm.frames import documents
 
 
@@ -13,7 +13,13 @@ def op10_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.report(documents(spark, sf_dir), items).drop("key_a", "key_b")
+
+
 QUERIES = {
+    "op7_positional_index": op7_positional_index,
     "op10_line_labels": op10_line_labels,
 }
 ORACLE_SQL: dict[str, str] = {}

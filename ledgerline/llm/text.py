@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Bytes of text handled at once. A longer text is a block of its own, and never cut.
 BLOCK_BYTES = 2_000_000
@@ -132,7 +133,7 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
     if not batch.num_rows:
         return
     sizes = np.asarray(
-        pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64
+        pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64
     )
     label = np.cumsum(sizes) // limit
     cuts = [0, *(np.flatnonzero(np.diff(label)) + 1), batch.num_rows]
