@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, quality
+from ledgerline.llm import decontaminate, jaccard, mixing, orc_tokens, quality
 from ledgerline.llm.frames import documents
 
 
@@ -13,12 +13,27 @@ def op10_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op1_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.report(documents(spark, sf_dir))
+
+
+def op5_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orc_tokens.report(documents(spark, sf_dir))
+
+
+def op9_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(documents(spark, sf_dir))
+
+
 def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.report(documents(spark, sf_dir), items).drop("key_a", "key_b")
 
 
 QUERIES = {
+    "op1_jaccard_regions": op1_jaccard_regions,
+    "op5_orc_token_ids": op5_orc_token_ids,
+    "op9_pivotal_mix": op9_pivotal_mix,
     "op7_positional_index": op7_positional_index,
     "op10_line_labels": op10_line_labels,
 }
