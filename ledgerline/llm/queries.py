@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import decontaminate, jaccard, mixing, orc_tokens, quality, secrets
+from ledgerline.llm import (
+    chat,
+    decontaminate,
+    jaccard,
+    mixing,
+    orc_tokens,
+    quality,
+    secrets,
+    token_count,
+)
 from ledgerline.llm.frames import documents
 
 
@@ -17,10 +26,18 @@ def op1_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.report(documents(spark, sf_dir))
 
 
+def op3_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op5_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.report(documents(spark, sf_dir))
 
 
+def op8_viterbi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.counts(documents(spark, sf_dir))
+
+
 def op9_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(documents(spark, sf_dir))
 
@@ -35,6 +52,8 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_perspective_rotation": op3_perspective_rotation,
+    "op8_viterbi_counts": op8_viterbi_counts,
     "op6_secret_ownership": op6_secret_ownership,
     "op1_jaccard_regions": op1_jaccard_regions,
     "op5_orc_token_ids": op5_orc_token_ids,
@@ -50,6 +69,7 @@ _FOUND = "\n    UNION ALL ".join(
 )
 _ASSIGN = secrets.PATTERNS[secrets.ASSIGN].replace("'", "''")
 ORACLE_SQL = {
+    "op3_perspective_rotation": chat.ORACLE_SQL,
     "op6_secret_ownership": f"""
 WITH d AS (
     SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, source, lang FROM documents
