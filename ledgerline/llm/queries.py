@@ -13,6 +13,7 @@ from ledgerline.llm import (
     quality,
     secrets,
     token_count,
+    toxicity,
 )
 from ledgerline.llm.frames import documents
 
@@ -30,6 +31,11 @@ def op3_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op4_lexicon_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.scores(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op5_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.report(documents(spark, sf_dir))
 
@@ -52,6 +58,7 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_lexicon_automata": op4_lexicon_automata,
     "op3_perspective_rotation": op3_perspective_rotation,
     "op8_viterbi_counts": op8_viterbi_counts,
     "op6_secret_ownership": op6_secret_ownership,
