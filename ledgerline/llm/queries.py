@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
     chat,
+    context_tree,
     decontaminate,
     jaccard,
     mixing,
@@ -27,6 +28,10 @@ def op1_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.report(documents(spark, sf_dir))
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scores(documents(spark, sf_dir))
+
+
 def op3_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -58,6 +63,7 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_context_tree": op2_context_tree,
     "op4_lexicon_automata": op4_lexicon_automata,
     "op3_perspective_rotation": op3_perspective_rotation,
     "op8_viterbi_counts": op8_viterbi_counts,
