@@ -16,6 +16,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Let Python workers get their rows in portions that stay small with long texts.
+
+    Only the size of the portions changes, for this session; no result depends on it.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return df
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the one that driver and executors share."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -11,54 +11,125 @@ the key range can be too large: equal ids are spread by the hash.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ledgerline.llm.frames import scratch
-from ledgerline.llm.text import blocks
+from ledgerline.llm.frames import scratch, small_batches
+from ledgerline.llm.text import TextBlock, Words, blocks
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
-# Bytes of text per file, and the knobs of the format.
-FILE_BYTES = 64_000_000
-STRIPE_BYTES = 16_000_000
+# Documents per file, on average, and the knobs of the format.
+FILE_ROWS = 20_000
+STRIPE_BYTES = 8_000_000
 ROWS_PER_INDEX = 1_000
-# Pieces whose ids a worker remembers; beyond that it starts over.
-REMEMBERED = 400_000
+# Pieces of text whose ids a worker remembers, twice: those of late, and those before them.
+REMEMBERED = 300_000
+# Words put into one call of the tokenizer.
+AT_ONCE = 50
 
+_SPACE, _LETTER, _MARK, _OTHER = range(4)
+_CLASS = np.full(256, _OTHER, dtype=np.uint8)
+_CLASS[list(b" \t\n\v\f\r")] = _SPACE
+_CLASS[list(b"abcdefghijklmnopqrstuvwxyz")] = _LETTER
+_CLASS[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = _MARK
+# Where a piece begins, by the class before and the class at a byte.
+_BEGINS = np.zeros(16, dtype=bool)
+_BEGINS[[_LETTER, _MARK, _OTHER, 4 * _LETTER + _MARK, 4 * _MARK + _LETTER]] = True
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, remembered per run of non-space characters.
+    """Ids of texts by the tokenizers library, remembered per piece of text.
 
-    The vocabulary's pre-tokenizer drops white space and never joins characters across it, so a text's
-    ids are those of its space-free runs, one after the other. Special tokens hold no space either.
+    The vocabulary's rules make that exact. White space is dropped and never joins characters; upper
+    case is lowered; a letter a-z and an ASCII mark other than the apostrophe never share a token. So a
+    text's ids are those of its pieces between spaces, and between such letters and marks, one after the
+    other. Words of letters only can share a call, as each ends with a token that says so. A text that
+    might spell a special token goes to the library as a whole. Pieces are known by 64-bit hashes.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[int, bytes] = {}
+        self.before: dict[int, bytes] = {}
 
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, without an end id."""
-        runs = [t.split() for t in texts]
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4") for e in encoded]
+
+    def _learn(self, fresh: list[tuple[int, str]]) -> None:
         known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        fresh = list({w for r in runs for w in r}.difference(known))
-        encoded = self.tokenizer.encode_batch(
-            [w.decode() for w in fresh], add_special_tokens=False
-        )
-        for word, e in zip(fresh, encoded):
-            known[word] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join([known[w] for w in r]) for r in runs]
+        words, others = [], []
+        for name, text in fresh:
+            alone = text.isalpha() and text.lower().isalpha()
+            (words if alone else others).append((name, text))
+        calls = [words[k : k + AT_ONCE] for k in range(0, len(words), AT_ONCE)]
+        for call, ids in zip(calls, self._encode([" ".join(t for _, t in c) for c in calls])):
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            begin, data = 0, ids.tobytes()
+            for (name, _), stop in zip(call, stops.tolist()):
+                known[name] = data[4 * begin : 4 * stop]
+                begin = stop
+        for (name, _), ids in zip(others, self._encode([t for _, t in others])):
+            known[name] = ids.tobytes()
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text, without an end id."""
+        special = pc.fill_null(pc.match_substring(texts, "<|"), False)
+        if pc.any(special).as_py():
+            plain = pc.if_else(special, "", texts)
+            out = self.ids(plain)
+            for k in np.flatnonzero(special):
+                out[k] = self._encode([texts[int(k)].as_py()])[0]
+            return out
+        if len(self.known) > REMEMBERED:
+            self.known, self.before = {}, self.known
+        block = TextBlock(texts, lower=True)
+        at = _CLASS[block.data]
+        outer = block.offsets[1:-1][block.offsets[1:-1] < len(at)]
+        before = np.append(np.uint8(_SPACE), at)[:-1]
+        before[outer] = _SPACE
+        after = np.append(at, np.uint8(_SPACE))[1:]
+        after[outer[outer > 0] - 1] = _SPACE
+        starts = np.flatnonzero(_BEGINS[4 * before + at])
+        ends = np.flatnonzero((at != _SPACE) & ((after == _SPACE) | _BEGINS[4 * at + after])) + 1
+        pieces = Words(block, starts, ends)
+        names, first, unit = np.unique(pieces.hashes(), return_index=True, return_inverse=True)
+        known, older, fresh = self.known, self.before, []
+        text, listed = block.data.tobytes(), names.tolist()
+        lists = list(map(known.get, listed))
+        missing = [k for k, ids in enumerate(lists) if ids is None]
+        for k in missing:
+            name = listed[k]
+            if name in older:
+                known[name] = older[name]
+            else:
+                j = first[k]
+                fresh.append((name, text[starts[j] : ends[j]].decode()))
+        self._learn(fresh)
+        for k in missing:
+            lists[k] = known[listed[k]]
+        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), dtype="<u4")
+        origin = np.cumsum(sizes) - sizes
+        size = sizes[unit]
+        stop = np.cumsum(size)
+        ids = flat[np.repeat(origin[unit] - (stop - size), size) + np.arange(int(size.sum()))]
+        bounds = np.append(0, stop)[pieces.first]
+        return [ids[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -73,23 +144,22 @@ def encoder(path: str) -> Encoder:
 
 def write(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> None:
     """Encode whole texts and write them as ORC files in ascending order of doc_id."""
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], dtype="<u4")
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for batch in batches:
             for part in blocks(batch, "text"):
-                texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
-                lists = [ids + end for ids in enc.ids(texts)]
-                offsets = np.cumsum([0, *(len(x) // 4 for x in lists)]).astype(np.int32)
-                flat = np.frombuffer(b"".join(lists), dtype="<u4").astype(np.int32)
+                lists = [np.append(ids, end) for ids in enc.ids(part.column("text"))]
+                offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+                flat = np.concatenate(lists).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("tie"), ids], ["doc_id", "tie", "ids"]
                 )
 
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    files = int(size // FILE_BYTES) + 1
+    small_batches(docs)
+    files = docs.count() // FILE_ROWS + 1
     files = max(files, docs.sparkSession.sparkContext.defaultParallelism)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
