@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.functions import text_key
 from ledgerline.plans import core, issues, marts, staging
@@ -75,13 +75,16 @@ class Models:
     @cached_property
     def issues_invoices(self) -> DataFrame:
         frame = issues.issues_invoices(
-            self.raw["invoices"], self.raw["subscriptions"], self.issues_subscriptions
+            self.raw["invoices"], self.raw["subscriptions"], self.issues_subscriptions, self.rates
         )
         return self.keep(frame, "issues_invoices")
 
     @cached_property
     def int_fx_rates(self) -> DataFrame:
-        return core.int_fx_rates(self.raw["invoices"].sparkSession)
+        """The caller's rates, or the built-in two rows, which alone are broadcast by hint."""
+        if self.rates is not None:
+            return self.rates.select("currency", "rate_to_eur")
+        return F.broadcast(core.int_fx_rates(self.raw["invoices"].sparkSession))
 
     @cached_property
     def int_subscriptions(self) -> DataFrame:
@@ -91,7 +94,7 @@ class Models:
     @cached_property
     def int_paid_invoices_eur(self) -> DataFrame:
         frame = core.int_paid_invoices_eur(
-            self.stg_invoices, self.issues_invoices, self.int_subscriptions, self.rates
+            self.stg_invoices, self.issues_invoices, self.int_subscriptions, self.int_fx_rates
         )
         return self.keep(frame, "int_paid_invoices_eur")
 

@@ -10,7 +10,7 @@ COPIES = "_copies"
 
 
 def with_row_id(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Add a row id hashed from the row's content.
+    """Add a row id hashed from the row's content, 32 bytes.
 
     Two rows share an id only if they are equal, and then it does not matter which one survives a
     dedupe. The id does not depend on file order, task order or retries.
@@ -19,7 +19,7 @@ def with_row_id(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     # Each value is preceded by its length, so no two rows spell the same text; NULL has none.
     texts = [F.col(c).cast("string") for c in names]
     parts = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("~")) for t in texts]
-    return df.withColumn(ROW_ID, F.sha2(F.concat(*parts), 256))
+    return df.withColumn(ROW_ID, F.unhex(F.sha2(F.concat(*parts), 256)))
 
 
 def first_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -28,14 +28,14 @@ def first_per_key(df: DataFrame, key: str) -> DataFrame:
     The survivor is the row with the smallest row id if the frame has one, else the smallest row by
     its columns from left to right (NULLs first). It is an aggregate and not a window: each task
     sends at most one row per key over the network, so a key with a third of all rows costs its
-    reducer no more than any other.
+    reducer no more than any other. With a row id, every column is an aggregate of its own, so those
+    that no later step uses are not read.
     """
     payload = [c for c in df.columns if c != key]
-    ordered = sorted(payload, key=lambda c: c != ROW_ID)
-    rows = df.groupBy(key).agg(
-        F.min(F.struct(*ordered)).alias("_row"),
-        F.count(F.lit(1)).alias(COPIES),
-    )
+    count = F.count(F.lit(1)).alias(COPIES)
+    if ROW_ID in payload:
+        return df.groupBy(key).agg(*[F.min_by(c, ROW_ID).alias(c) for c in payload], count)
+    rows = df.groupBy(key).agg(F.min(F.struct(*payload)).alias("_row"), count)
     return rows.select(key, "_row.*", COPIES)
 
 
@@ -55,15 +55,20 @@ def sql_not_in(df: DataFrame, key: str, excluded: DataFrame) -> DataFrame:
     """`key NOT IN (SELECT key FROM excluded)` with SQL's NULL rules, as a join that can shuffle.
 
     One NULL among the excluded keys keeps no row at all; else a NULL key is kept only if nothing is
-    excluded. So every excluded row also stands for NULL, and the anti join is null-safe. The test
-    for an excluded NULL is a filter on the key, which reaches the scan and reads next to nothing. A
-    literal NOT IN would instead have to broadcast the excluded keys whole, whatever their number.
+    excluded. Both facts and the anti join read the same grouped keys, and neither puts a filter
+    below the grouping, so its exchange runs once. The join is null-safe for that reason alone: an
+    ordinary one would have the optimiser drop NULLs on one of the two paths. A literal NOT IN would
+    instead have to broadcast the excluded keys whole, whatever their number.
     """
-    null_excluded = excluded.where(F.col(key).isNull()).agg(F.count(F.lit(1))).scalar()
-    matches = keyed(excluded.select(F.explode(F.array(key, F.lit(None))).alias("_key")), "_key")
-    return df.where(null_excluded == 0).join(
-        matches, F.col(key).eqNullSafe(F.col("_key")), "left_anti"
-    )
+    keys = keyed(excluded.select(F.col(key).alias("_key")), "_key").select("_key")
+    facts = keys.agg(
+        F.struct(
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.max(F.col("_key").isNull()), F.lit(False)).alias("has_null"),
+        )
+    ).scalar()
+    possible = (facts["n"] == 0) | (~facts["has_null"] & F.col(key).isNotNull())
+    return df.where(possible).join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
 
 
 def any_of(flags: list[str]) -> Column:

@@ -11,7 +11,7 @@ from ledgerline.schemas import RATE, RATES_TO_EUR
 
 
 def int_fx_rates(spark: SparkSession) -> DataFrame:
-    """Undated rates to EUR. Inline values, so the optimiser knows there are two rows."""
+    """The built-in, undated rates to EUR. Inline values, so the optimiser knows there are two rows."""
     rows = ", ".join(f"('{c}', CAST('{r}' AS {RATE}))" for c, r in RATES_TO_EUR.items())
     return spark.sql(f"SELECT * FROM VALUES {rows} AS fx(currency, rate_to_eur)")
 
@@ -57,19 +57,15 @@ def int_paid_invoices_eur(
     stg_invoices: DataFrame,
     issues_invoices: DataFrame,
     int_subscriptions: DataFrame,
-    rates: DataFrame | None = None,
+    int_fx_rates: DataFrame,
 ) -> DataFrame:
     """Paid invoices in EUR without the withheld ones.
 
-    The rate join comes first: it drops unsupported currencies before anything is shuffled. Only the
-    built-in two-row table is broadcast by hint; a caller's own table is left to the size check of
-    the optimiser.
+    The rate join comes first: it drops unsupported currencies before anything is shuffled.
     """
-    spark = stg_invoices.sparkSession
-    fx = F.broadcast(int_fx_rates(spark)) if rates is None else rates
     priced = (
         stg_invoices.where(F.col("status") == "paid")
-        .join(fx.select("currency", "rate_to_eur"), "currency")
+        .join(int_fx_rates.select("currency", "rate_to_eur"), "currency")
         .withColumn("amount_eur", to_eur("amount", "rate_to_eur"))
     )
     withheld = issues_invoices.where("excluded_from_marts").select("invoice_id")

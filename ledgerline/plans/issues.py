@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerline.functions import as_of_date, code, is_blank, is_not_an_email, is_unnormalised, label
 from ledgerline.operators import any_of, first_per_key, keyed, union_all
 from ledgerline.operators.keys import COPIES
-from ledgerline.schemas import CURRENCIES
+from ledgerline.schemas import RATES_TO_EUR
 
 CUSTOMER_FLAGS = [
     "was_duplicated",
@@ -93,11 +93,16 @@ def issues_subscriptions(flagged_subscriptions: DataFrame) -> DataFrame:
 
 
 def issues_invoices(
-    raw_invoices: DataFrame, raw_subscriptions: DataFrame, issues_subscriptions: DataFrame
+    raw_invoices: DataFrame,
+    raw_subscriptions: DataFrame,
+    issues_subscriptions: DataFrame,
+    int_fx_rates: DataFrame | None = None,
 ) -> DataFrame:
     """Invoice defects, including those inherited from a withheld subscription.
 
     Known ids and withheld ids are folded into one lookup first, so the large table is shuffled once.
+    A currency is supported if `int_fx_rates` has a rate for it; without the argument, if the
+    built-in rates have. A NULL currency is neither.
     """
     sightings = raw_subscriptions.select(
         "subscription_id", F.lit(True).alias("known"), F.lit(False).alias("withheld")
@@ -112,6 +117,15 @@ def issues_invoices(
         F.max("known").alias("_known"),
         F.max("withheld").alias("_withheld"),
     )
+    unsupported = ~code("currency").isin(*RATES_TO_EUR)
+    if int_fx_rates is not None:
+        rated = keyed(
+            int_fx_rates.where("rate_to_eur IS NOT NULL").select(F.col("currency").alias("_rated")),
+            "_rated",
+            F.lit(True).alias("_supported"),
+        )
+        raw_invoices = raw_invoices.join(rated, code("currency") == F.col("_rated"), "left")
+        unsupported = F.when(code("currency").isNotNull(), F.col("_supported").isNull())
     return (
         raw_invoices.join(lookup, "subscription_id", "left")
         .select(
@@ -125,7 +139,7 @@ def issues_invoices(
             ((label("status") == "paid") & F.col("amount").isNull()).alias("has_null_paid_amount"),
             F.coalesce(F.col("amount") <= 0, F.lit(False)).alias("has_non_positive_amount"),
             is_unnormalised("status").alias("has_unnormalized_status"),
-            (~code("currency").isin(*CURRENCIES)).alias("has_unsupported_currency"),
+            unsupported.alias("has_unsupported_currency"),
             F.coalesce("_withheld", F.lit(False)).alias("has_excluded_subscription"),
         )
         .where(any_of(INVOICE_FLAGS))

@@ -5,67 +5,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 TABLES = {
-    "customers": "Raw copy of the customers, neither cleaned nor deduplicated.",
-    "subscriptions": "Raw copy of the subscriptions; a customer may hold several.",
-    "invoices": "Raw copy of the monthly invoices.",
-    "fct_mrr": "Recognised revenue per month and plan, paid invoices only, in EUR.",
-    "customer_ltv": "One row per customer with revenue to date, holdings and current status.",
-    "subscription_churn": "Cancellations and lost monthly revenue per cancellation month.",
-    "issues_customers": "Customers that break a rule, judged on raw.",
-    "issues_subscriptions": "Subscriptions that break a rule, judged on raw.",
-    "issues_invoices": "Invoices that break a rule, judged on raw.",
+    "customers": "One row per customer record the source sent, defects and repeats included.",
+    "subscriptions": "One row per subscription record the source sent, defects and repeats included.",
+    "invoices": "One row per invoice record the source sent, defects included.",
+    "fct_mrr": "What paid invoices brought in, by invoice month and plan.",
+    "customer_ltv": "What each customer has paid so far, what they hold, and how they stand.",
+    "subscription_churn": "Subscriptions that ended, and the monthly price that went with them, by month.",
+    "issues_customers": "Customer records with at least one defect, one flag per rule.",
+    "issues_subscriptions": "Subscription records with at least one defect, one flag per rule.",
+    "issues_invoices": "Invoice records with at least one defect, one flag per rule.",
 }
 
 COLUMNS = {
     "customers": {
-        "customer_id": "Business key, may repeat.",
-        "email": "Contact address as entered.",
-        "country": "Two-letter code; may be missing.",
-        "created_at": "Sign-up date.",
+        "customer_id": "Names a customer; nothing enforces that it does so once.",
+        "email": "Mail address, unchecked.",
+        "country": "ISO country code, or NULL.",
+        "created_at": "Day the account was opened.",
     },
     "subscriptions": {
-        "subscription_id": "Business key, may repeat.",
-        "customer_id": "Holder; may not exist among the customers.",
-        "plan_name": "Plan: starter, growth or scale once normalised.",
-        "monthly_price": "Monthly price in EUR.",
-        "end_date": "Set only for cancelled subscriptions; may lie ahead.",
-        "status": "Status: active, cancelled or paused once normalised.",
+        "subscription_id": "Names a subscription; nothing enforces that it does so once.",
+        "customer_id": "Who subscribes; the customer may be unknown.",
+        "plan_name": "starter, growth or scale, in any spelling.",
+        "monthly_price": "Euros a month.",
+        "end_date": "Last day, for subscriptions that end.",
+        "status": "active, cancelled or paused, in any spelling.",
     },
     "invoices": {
-        "invoice_id": "Business key, unique at the source.",
-        "subscription_id": "Billed subscription; may not exist.",
-        "amount": "Amount in the invoice's currency.",
-        "currency": "Three-letter code: EUR or SEK once normalised.",
-        "status": "Status: paid, open or failed once normalised.",
+        "invoice_id": "Names an invoice.",
+        "subscription_id": "What is billed; the subscription may be unknown.",
+        "amount": "Billed amount in `currency`.",
+        "currency": "EUR or SEK, in any spelling.",
+        "status": "paid, open or failed, in any spelling.",
     },
     "fct_mrr": {
-        "invoice_month": "First day of the invoice month.",
-        "plan_name": "Plan the revenue belongs to.",
-        "paid_invoices": "Paid invoices counted in mrr_eur.",
-        "paying_subscriptions": "Distinct subscriptions among them.",
-        "paying_customers": "Distinct customers among them.",
-        "mrr_eur": "Their sum, each converted at a fixed rate and rounded to cents.",
+        "invoice_month": "Invoice date cut to its month.",
+        "plan_name": "Plan of the billed subscription.",
+        "paid_invoices": "How many invoices mrr_eur adds up.",
+        "paying_subscriptions": "How many different subscriptions they bill.",
+        "paying_customers": "How many different customers pay them.",
+        "mrr_eur": "Their amounts in euros, each rounded to cents before adding.",
     },
     "customer_ltv": {
-        "customer_id": "Business key, one row each.",
-        "customer_name": "Name without surrounding spaces.",
-        "country": "Country code, UNKNOWN where the source has none.",
-        "customer_since": "Sign-up date as recorded.",
-        "total_revenue_eur": "Paid invoices in EUR; zero if there are none.",
-        "paid_invoices": "Number of paid invoices.",
-        "first_paid_invoice_date": "Earliest paid invoice.",
-        "last_paid_invoice_date": "Latest paid invoice.",
-        "subscription_count": "Usable subscriptions held; withheld ones do not count.",
-        "active_subscriptions": "Active ones among them.",
-        "plan_mix": "Their distinct plans in alphabetical order.",
-        "current_subscription_status": "Active if any is active, else that of the latest started.",
+        "customer_id": "Unique here.",
+        "customer_name": "Trimmed.",
+        "country": "Upper case; UNKNOWN for NULL and blank.",
+        "customer_since": "created_at of the raw record that was chosen.",
+        "total_revenue_eur": "Paid euros up to now, 0 without any.",
+        "paid_invoices": "How many invoices that is.",
+        "first_paid_invoice_date": "Date of the first of them.",
+        "last_paid_invoice_date": "Date of the last of them.",
+        "subscription_count": "Subscriptions fit for use.",
+        "active_subscriptions": "How many of those are active.",
+        "plan_mix": "Their different plans, sorted and comma-separated.",
+        "current_subscription_status": "active if one is; else the status of the youngest.",
     },
     "subscription_churn": {
-        "churn_month": "First day of the month the cancellation takes effect.",
-        "cancelled_subscriptions": "Cancellations with a usable end date.",
-        "churned_customers": "Distinct customers behind them.",
-        "mrr_lost_eur": "Sum of their monthly prices.",
-        "is_future_cancellation": "True for a month after the day of the run.",
+        "churn_month": "End date cut to its month.",
+        "cancelled_subscriptions": "How many subscriptions end in it, with a believable end date.",
+        "churned_customers": "How many different customers held them.",
+        "mrr_lost_eur": "Euros a month they paid together.",
+        "is_future_cancellation": "Whether the month begins after the day of the run.",
     },
 }
 

@@ -1,7 +1,7 @@
 """A full refresh: load raw, prove it, build, check what was written, publish.
 
-A refresh is a function of its inputs and the run id. Repeating it writes the same folders again and
-ends in the same state; what is current changes only after every error-severity check has passed.
+Every attempt writes to folders of its own, also a retry under the same run id; what is current
+changes only after every error-severity check has passed. A failed attempt removes what it wrote.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ import logging
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.errors import IngestError, MartContractError, RawValidationError
@@ -22,6 +24,11 @@ from ledgerline.quality import reconcile
 from ledgerline.quality.checks import ERROR, Check, summarise
 from ledgerline.quality.rules import all_checks, quarantine_has_ids
 from ledgerline.schemas import RAW_TABLES
+from ledgerline.session import configure
+from ledgerline.sources.contract import conform
+
+# Published runs that stay readable, per target and of raw.
+KEEP_RUNS = 3
 
 log = logging.getLogger(__name__)
 
@@ -43,34 +50,44 @@ def load_raw(
     base: str,
     run_id: str,
     expected_rows: dict[str, int] | None = None,
-) -> dict[str, dict]:
+) -> tuple[dict[str, dict], dict[str, DataFrame]]:
     """Replace the raw tables by an exact copy of the sources, all of them or none.
 
-    Rows are neither deduplicated nor cleaned. The copy is read back and compared with the source
-    before it becomes current.
+    Rows are neither deduplicated nor cleaned. The copy is read back and compared with what its write
+    observed before it becomes current; the sources are read once. Returns the counts and the copy.
     """
     missing = sorted(set(RAW_TABLES) - set(sources))
     if missing:
         raise IngestError(f"no source for {missing}")
     versions = Versions(spark, f"{base}/raw")
-    for name, table in RAW_TABLES.items():
-        source = sources[name].select(*table.columns)
-        versions.stage(with_row_id(source, table.columns), run_id, name)
-
-    problems, counts = reconcile.problems(
-        sources, lambda name: spark.read.parquet(versions.path(run_id, name))
-    )
-    if problems:
-        raise RawValidationError("; ".join(problems))
-    wrong = [
-        f"{name}: expected {expected} rows, found {counts[name]['n_rows']}"
-        for name, expected in (expected_rows or {}).items()
-        if counts[name]["n_rows"] != expected
-    ]
-    if wrong:
-        raise IngestError("; ".join(wrong))
-    versions.publish(run_id, list(RAW_TABLES))
-    return counts
+    attempt = versions.new_attempt(run_id)
+    try:
+        written, observed = {}, {}
+        for name, table in RAW_TABLES.items():
+            observed[name] = reconcile.fingerprint(table.key)
+            try:
+                source = with_row_id(conform(sources[name], table), table.columns)
+                written[name] = versions.stage(source, attempt, name, observed[name])
+            except (PySparkException, Py4JJavaError) as e:
+                raise IngestError(f"{name}: cannot be loaded") from e
+
+        report, counts = reconcile.differences(
+            observed, lambda name: spark.read.parquet(versions.path(attempt, name))
+        )
+        if report:
+            raise RawValidationError("; ".join(report))
+        wrong = [
+            f"{name}: expected {expected} rows, found {counts[name]['n_rows']}"
+            for name, expected in (expected_rows or {}).items()
+            if counts[name]["n_rows"] != expected
+        ]
+        if wrong:
+            raise IngestError("; ".join(wrong))
+    except Exception:
+        versions.discard(attempt)
+        raise
+    versions.publish(run_id, attempt, list(RAW_TABLES))
+    return counts, written
 
 
 def refresh(
@@ -86,38 +103,49 @@ def refresh(
     normalize_keys: bool = False,
     expected_rows: dict[str, int] | None = None,
     extra_checks: list[Check] | None = None,
+    keep_runs: int = KEEP_RUNS,
 ) -> Refresh:
     """Load, build, check and publish one run below `base`, a folder all executors can reach.
 
-    Raw is shared by all targets; marts and issue tables are published per target. Relations that
-    several others read are written once and read back, so no mart recomputes them and the loss of an
-    executor costs no more than the tasks it was running.
+    Raw is shared by all targets; marts and issue tables are published per target, and built from the
+    copy of raw that this run wrote. Relations that several others read are written once and read
+    back, so no mart recomputes them and the loss of an executor costs no more than the tasks it was
+    running; they go when the run is published. The last `keep_runs` published runs are kept.
     """
+    configure(spark)
     base, target = base.rstrip("/"), resolve_target(target, run_conf)
     run_id = run_id or uuid.uuid4().hex
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
-    counts = load_raw(spark, sources, base, run_id, expected_rows)
+    versions = Versions(spark, f"{base}/{target}")
+    versions.create_views(f"billing_{target}")
+    counts, raw = load_raw(spark, sources, base, run_id, expected_rows)
 
-    raw_versions, versions = Versions(spark, f"{base}/raw"), Versions(spark, f"{base}/{target}")
-    raw = {name: raw_versions.read(name) for name in RAW_TABLES}
+    attempt = versions.new_attempt(run_id)
     models = Models(
         raw,
         as_of,
         rates=rates,
         normalize_keys=normalize_keys,
         # So the checks read the marts as written, not the plans that wrote them.
-        keep=lambda df, name: versions.stage(df, run_id, name),
+        keep=lambda df, name: versions.stage(df, attempt, name),
     )
-    models.build_together()
-    checks = all_checks(models) + [quarantine_has_ids(models.issues_invoices)]
-    summary = versions.stage(summarise(checks + (extra_checks or [])), run_id, "check_results")
-
-    failed = summary.where(summary.outcome == ERROR).select("check_name", "failures").collect()
-    if failed:
-        named = ", ".join(f"{r['check_name']} ({r['failures']})" for r in failed)
-        raise MartContractError(f"not published: {named}")
+    try:
+        models.build_together()
+        checks = all_checks(models) + [quarantine_has_ids(models.issues_invoices)]
+        checks += extra_checks or []
+        summary = versions.stage(summarise(checks), attempt, "check_results")
+        failed = summary.where(summary.outcome == ERROR).select("check_name", "failures").collect()
+        if failed:
+            named = ", ".join(f"{r['check_name']} ({r['failures']})" for r in failed)
+            raise MartContractError(f"not published: {named}")
+    except Exception:
+        versions.discard(attempt)
+        raise
     published = (*models.marts, *models.issue_tables)
-    versions.publish(run_id, list(published))
+    versions.publish(run_id, attempt, list(published))
+    versions.discard(attempt, keep=(*published, "check_results"))
     versions.create_views(f"billing_{target}")
+    for each in (versions, Versions(spark, f"{base}/raw")):
+        each.retain(keep_runs)
     log.info("run %s published %s to %s", run_id, ", ".join(published), target)
     return Refresh(run_id, target, counts, summary, published)

@@ -1,19 +1,23 @@
-"""Versioned Parquet tables with an append-only log of what is current.
+"""Versioned Parquet tables with a log of what is current.
 
-Every write goes to a folder of its own, so a reader of the previous version is never disturbed and
-a failed run leaves nothing half replaced. One appended log file switches a whole set of tables.
+Every attempt of a run writes to a folder of its own, so neither a reader of the published version nor
+a retry of the run it came from is ever disturbed. One log file switches a whole set of tables.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from ledgerline.publish.describe import TABLES, with_comments
 
-LOG_SCHEMA = "relation string, path string, run_id string, published_at timestamp"
+LOG_SCHEMA = "relation string, path string, run_id string, attempt string, published_at timestamp"
+# An attempt that was neither published nor cleaned up counts as crashed after this long.
+ABANDONED_AFTER = dt.timedelta(days=2)
 
 
 class Versions:
@@ -21,35 +25,63 @@ class Versions:
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
-        self.log = f"{self.base}/_versions"
+        self.log, self.runs = f"{self.base}/_versions", f"{self.base}/_runs"
 
-    def path(self, run_id: str, relation: str) -> str:
-        return f"{self.base}/_runs/{run_id}/{relation}"
+    @staticmethod
+    def new_attempt(run_id: str) -> str:
+        """A folder name no other attempt has, of this run or another."""
+        return f"{run_id}-{uuid.uuid4().hex}"
 
-    def stage(self, df: DataFrame, run_id: str, relation: str) -> DataFrame:
-        """Write one relation of a run; not current until published. A retry replaces it."""
-        path = self.path(run_id, relation)
-        with_comments(df, relation).write.mode("overwrite").parquet(path)
+    def path(self, attempt: str, relation: str) -> str:
+        return f"{self.runs}/{attempt}/{relation}"
+
+    def stage(
+        self, df: DataFrame, attempt: str, relation: str, observe: dict | None = None
+    ) -> DataFrame:
+        """Write one relation of an attempt; not current until published.
+
+        `observe` maps names to aggregates over the written rows; it is filled with their values.
+        """
+        path = self.path(attempt, relation)
+        frame = with_comments(df, relation)
+        if observe:
+            watch = Observation(f"{relation}-{uuid.uuid4().hex}")
+            frame = frame.observe(watch, *[c.alias(n) for n, c in observe.items()])
+        frame.write.mode("errorifexists").parquet(path)
+        if observe:
+            observe.update(watch.get)
         return self.spark.read.parquet(path)
 
-    def publish(self, run_id: str, relations: list[str]) -> None:
-        """Make a run's relations current, all at once: one file, one rename."""
+    def publish(self, run_id: str, attempt: str, relations: list[str]) -> None:
+        """Make an attempt's relations current, all at once: one log file that holds the whole log."""
         now = dt.datetime.now(dt.timezone.utc)
-        rows = [(name, self.path(run_id, name), run_id, now) for name in relations]
-        self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.log
-        )
+        files, history = self._files(), self.history()
+        rows = [tuple(r) for r in history]
+        rows += [(name, self.path(attempt, name), run_id, attempt, now) for name in relations]
+        self._write_log(rows)
+        # What was read is in the new file; a file that another writer added since stays.
+        self._delete(files)
+
+    def history(self) -> list[Row]:
+        """Everything the log names, oldest first. Its length is bounded by `retain`."""
+        for patience in (0.1, 0.5, 2.0):
+            try:
+                log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.log}/*")
+                return sorted(log.distinct().collect(), key=lambda r: (r["published_at"], r["path"]))
+            except AnalysisException as e:
+                if e.getCondition() == "PATH_NOT_FOUND":
+                    return []
+                raise
+            except Exception:
+                # A file was replaced between listing and reading.
+                if patience == 2.0:
+                    raise
+                time.sleep(patience)
+        return []
 
     def current(self) -> dict[str, str]:
         """Path of the latest published version by relation; empty before the first one."""
-        try:
-            log = self.spark.read.schema(LOG_SCHEMA).parquet(self.log)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return {}
-            raise
-        latest = log.groupBy("relation").agg(F.max_by("path", "published_at").alias("path"))
-        return {row["relation"]: row["path"] for row in latest.collect()}
+        return {r["relation"]: r["path"] for r in self.history()}
 
     def read(self, relation: str) -> DataFrame:
         current = self.current()
@@ -58,7 +90,11 @@ class Versions:
         return self.spark.read.parquet(current[relation])
 
     def create_views(self, database: str) -> None:
-        """Point catalog views at the current versions."""
+        """Point catalog views at the current versions, one after the other.
+
+        Readers that need tables of one run together go through `current`. After a crash in between,
+        the next call brings all views in line again.
+        """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         for relation, path in self.current().items():
             comment = TABLES.get(relation, "").replace("'", "\\'")
@@ -66,3 +102,59 @@ class Versions:
                 f"CREATE OR REPLACE VIEW `{database}`.`{relation}` COMMENT '{comment}'"
                 f" AS SELECT * FROM parquet.`{path}`"
             )
+
+    def discard(self, attempt: str, keep: tuple[str, ...] = ()) -> None:
+        """Remove an attempt that will not be published, or all of it but some relations."""
+        folder = f"{self.runs}/{attempt}"
+        if keep:
+            kept = {f"{folder}/{name}" for name in keep}
+            self._delete([p for p, _ in self._list(folder) if not p.endswith(tuple(kept))])
+        else:
+            self._delete([folder])
+
+    def retain(self, runs: int) -> None:
+        """Keep the latest `runs` published attempts and whatever the log calls current.
+
+        Older ones leave the log first and the disk after it. Attempts that the log does not name are
+        removed once they are old enough to be crashed ones and not running ones.
+        """
+        files, history = self._files(), self.history()
+        published = list(dict.fromkeys(r["attempt"] for r in reversed(history)))
+        current = {r["relation"]: r["attempt"] for r in history}
+        kept = set(published[:runs]) | set(current.values())
+        if kept != set(published):
+            self._write_log([tuple(r) for r in history if r["attempt"] in kept])
+            self._delete(files)
+        horizon = time.time() - ABANDONED_AFTER.total_seconds()
+        for path, changed in self._list(self.runs):
+            attempt = path.rsplit("/", 1)[-1]
+            crashed = attempt not in published and changed < horizon
+            if crashed or (attempt in published and attempt not in kept):
+                self._delete([path])
+
+    def _write_log(self, rows: list[tuple]) -> None:
+        name = f"{time.time_ns()}-{uuid.uuid4().hex}"
+        log = self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
+        log.write.mode("errorifexists").parquet(f"{self.log}/{name}")
+
+    def _files(self) -> list[str]:
+        return [path for path, _ in self._list(self.log)]
+
+    def _system(self, path: str):
+        """Spark has no call to list or remove files; its file system has."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _list(self, folder: str) -> list[tuple[str, float]]:
+        place, system = self._system(folder)
+        if not system.exists(place):
+            return []
+        return [
+            (s.getPath().toString(), s.getModificationTime() / 1000)
+            for s in system.listStatus(place)
+        ]
+
+    def _delete(self, paths: list[str]) -> None:
+        for path in paths:
+            place, system = self._system(path)
+            system.delete(place, True)

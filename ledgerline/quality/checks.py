@@ -19,9 +19,9 @@ WARN, ERROR, PASS = "warn", "error", "pass"
 class Check:
     """One rule on one relation.
 
-    `rows` are the offending rows. `failures` aggregates them to the number reported. A rule that
-    looks at one row at a time also names its `frame` and `predicate`, so that a suite can count all
-    such rules of a frame in one pass. The check takes its severity above `tolerated` failures.
+    `rows` are the offending rows. `failures` aggregates them to the number reported. A rule whose
+    number can be had from its `frame` directly also gives that as `counted`, so that a suite counts
+    all such rules of a frame in one pass. The check takes its severity above `tolerated` failures.
     """
 
     name: str
@@ -30,7 +30,7 @@ class Check:
     rows: DataFrame
     failures: Column
     frame: DataFrame | None = None
-    predicate: Column | None = None
+    counted: Column | None = None
     tolerated: int = 0
 
 
@@ -51,7 +51,7 @@ def row_rule(
         offending.select(*columns) if columns else offending,
         F.count(F.lit(1)),
         frame,
-        predicate,
+        F.count_if(predicate),
     )
 
 
@@ -85,13 +85,11 @@ def accepted_values(
     relation: str, severity: str, frame: DataFrame, column: str, values: Iterable[str]
 ) -> Check:
     """Values outside the list with their row counts; NULL is not a value."""
-    foreign = (
-        frame.where(~F.col(column).isin(*values))
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n_records"))
-    )
+    is_foreign = ~F.col(column).isin(*values)
+    foreign = frame.where(is_foreign).groupBy(column).agg(F.count(F.lit(1)).alias("n_records"))
     name = f"accepted_values_{relation}_{column}"
-    return Check(name, relation, severity, foreign, F.count(F.lit(1)))
+    found = F.count_distinct(F.when(is_foreign, F.col(column)))
+    return Check(name, relation, severity, foreign, F.count(F.lit(1)), frame, found)
 
 
 def relationships(
@@ -116,19 +114,20 @@ def relationships(
 def summarise(checks: list[Check]) -> DataFrame:
     """One row per check: failures and outcome.
 
-    Row rules on the same frame share one scan; every other check is one aggregation.
+    Rules that can be counted on their frame share one scan of it; every other check is one
+    aggregation.
     """
     shared: dict[int, list[Check]] = {}
     parts = []
     for check in checks:
-        if check.predicate is not None:
+        if check.counted is not None:
             shared.setdefault(id(check.frame), []).append(check)
         else:
             parts.append(
                 check.rows.agg(F.array(_result(check, check.failures)).alias("results"))
             )
     for group in shared.values():
-        results = [_result(c, F.count_if(c.predicate)) for c in group]
+        results = [_result(c, c.counted) for c in group]
         parts.append(group[0].frame.agg(F.array(*results).alias("results")))
     counted = union_all(parts).select(F.inline("results"))
     return counted.withColumn(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.functions import as_of_date, is_blank, is_not_an_email, label
 from ledgerline.models import Models
+from ledgerline.operators import keyed
 from ledgerline.quality.checks import (
     ERROR,
     WARN,
@@ -148,10 +149,10 @@ def no_quarantined_revenue(paid_invoices: DataFrame, issues_invoices: DataFrame)
 
     Every offending pair counts, as several withheld rows may share an invoice id.
     """
-    withheld = (
-        issues_invoices.where("excluded_from_marts")
-        .groupBy("invoice_id")
-        .agg(F.count(F.lit(1)).alias("n_records"))
+    withheld = keyed(
+        issues_invoices.where("excluded_from_marts"),
+        "invoice_id",
+        F.count(F.lit(1)).alias("n_records"),
     )
     rows = paid_invoices.select("invoice_id", "subscription_id", "amount_eur").join(
         withheld, "invoice_id"
@@ -241,7 +242,18 @@ def quarantine_has_ids(issues_invoices: DataFrame) -> Check:
     )
 
 
+def rate_checks(rates: DataFrame) -> list[Check]:
+    """One rate per currency: a second one would count its revenue twice."""
+    return [
+        not_null("int_fx_rates", ERROR, rates, "currency"),
+        not_null("int_fx_rates", ERROR, rates, "rate_to_eur"),
+        unique("int_fx_rates", ERROR, rates, "currency"),
+    ]
+
+
 def all_checks(models: Models) -> list[Check]:
-    return raw_checks(models.raw, models.as_of) + mart_checks(
+    """All rules of the domain; rates are judged where a caller brought their own."""
+    checks = raw_checks(models.raw, models.as_of) + mart_checks(
         models.marts, models.int_paid_invoices_eur, models.issues_invoices
     )
+    return checks + (rate_checks(models.rates) if models.rates is not None else [])

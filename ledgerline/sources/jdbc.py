@@ -1,10 +1,13 @@
-"""The billing tables from an operational database, in parallel ranges of a date column."""
+"""The billing tables from an operational database, in parallel parts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.schemas import RAW_TABLES
+from ledgerline.sources.contract import conform
 
 # The column each table is cut by. Keys are text, which JDBC ranges cannot cut.
 SPLIT_COLUMNS = {
@@ -13,6 +16,14 @@ SPLIT_COLUMNS = {
     "invoices": "invoice_date",
 }
 FETCH_SIZE = "10000"
+# A number from 0 to n - 1 for a text key, in the database's own dialect.
+HASH_SQL = "MOD(CRC32({key}), {n})"
+
+
+def hash_predicates(key: str, n: int, hash_sql: str = HASH_SQL) -> list[str]:
+    """Disjoint conditions that cover a table; the first also takes the rows without a key."""
+    part = hash_sql.format(key=key, n=n)
+    return [f"{part} = {k}" + (f" OR {key} IS NULL" if k == 0 else "") for k in range(n)]
 
 
 def read_jdbc_table(
@@ -20,36 +31,36 @@ def read_jdbc_table(
     url: str,
     table: str,
     *,
+    key: str,
     split_by: str | None = None,
     partitions: int = 16,
     predicates: list[str] | None = None,
+    hash_sql: str = HASH_SQL,
     properties: dict[str, str] | None = None,
 ) -> DataFrame:
-    """One table with the schema the database reports.
+    """One table with the schema the database reports, in `partitions` parts.
 
-    The range bounds only place the cuts: rows outside them, and NULLs, fall into the first and last
-    range, so no row is left out. Where one date holds much of a table, pass `predicates` instead,
-    one disjoint condition per task.
+    Parts are the caller's `predicates`; else ranges of `split_by`, whose bounds the database computes
+    and which only place the cuts, so rows outside them and NULLs are kept; else, without a column to
+    cut by or with a single value in it, hash parts of the key. Where one date holds much of a table,
+    pass `predicates`, for example those of `hash_predicates`.
     """
     props = {"fetchsize": FETCH_SIZE, **(properties or {})}
-    if predicates:
-        return spark.read.jdbc(url, table, predicates=predicates, properties=props)
-    whole = spark.read.jdbc(url, table, properties=props)
-    if split_by is None or partitions < 2:
-        return whole
-    # Both bounds are computed by the database: min and max are pushed down.
-    low, high = whole.agg(F.min(split_by), F.max(split_by)).first()
-    if low is None or low == high:
-        return whole
-    return spark.read.jdbc(
-        url,
-        table,
-        column=split_by,
-        lowerBound=str(low),
-        upperBound=str(high),
-        numPartitions=partitions,
-        properties=props,
-    )
+    if predicates is None and split_by is not None:
+        bounds = f"(SELECT MIN({split_by}) AS low, MAX({split_by}) AS high FROM {table}) bounds"
+        low, high = spark.read.jdbc(url, bounds, properties=props).first()
+        if low is not None and low != high:
+            return spark.read.jdbc(
+                url,
+                table,
+                column=split_by,
+                lowerBound=str(low),
+                upperBound=str(high),
+                numPartitions=partitions,
+                properties=props,
+            )
+    parts = predicates or hash_predicates(key, partitions, hash_sql)
+    return spark.read.jdbc(url, table, predicates=parts, properties=props)
 
 
 def read_billing_jdbc(
@@ -57,17 +68,25 @@ def read_billing_jdbc(
     url: str,
     *,
     partitions: int = 16,
+    predicates: Mapping[str, list[str]] | None = None,
+    hash_sql: str = HASH_SQL,
     properties: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The three raw tables, columns by name, values as the database holds them."""
+    """The three raw tables, held to the contract; `predicates` cut single tables by hand."""
     return {
-        name: read_jdbc_table(
-            spark,
-            url,
-            name,
-            split_by=SPLIT_COLUMNS[name],
-            partitions=partitions,
-            properties=properties,
-        ).select(*table.columns)
+        name: conform(
+            read_jdbc_table(
+                spark,
+                url,
+                name,
+                key=table.key,
+                split_by=SPLIT_COLUMNS[name],
+                partitions=partitions,
+                predicates=(predicates or {}).get(name),
+                hash_sql=hash_sql,
+                properties=properties,
+            ),
+            table,
+        )
         for name, table in RAW_TABLES.items()
     }

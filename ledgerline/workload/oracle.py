@@ -34,7 +34,7 @@ VIEWS = {
                     WHEN c_custkey % 47 = 0 THEN lower(n_name) || ' ' ELSE n_name END AS country,
                CASE WHEN c_custkey % 61 = 0 THEN DATE '2001-06-01'
                     ELSE DATE '1994-01-01' + CAST(c_custkey % 365 AS INT) END AS created_at
-        FROM customer JOIN nation ON c_nationkey = n_nationkey
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
         {COPY_ROWS} c_custkey % 71 = 0""",
     "order_labels": """
         SELECT o_orderkey AS k, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS started,
@@ -150,13 +150,19 @@ VIEWS = {
         SELECT * FROM (VALUES ('EUR', CAST(1.0 AS DECIMAL(10,4))),
                               ('SEK', CAST(0.087 AS DECIMAL(10,4)))) AS t(currency, rate)""",
     "usable_subscriptions": """
-        SELECT s.subscription_id, s.customer_id, s.plan_name, s.monthly_price, s.start_date,
-               s.end_date, s.status,
-               ifnull(q.has_invalid_end_date, FALSE) AS has_unreliable_end_date,
-               s.status = 'cancelled' AND s.end_date IS NOT NULL
-                   AND NOT ifnull(q.has_invalid_end_date, FALSE) AS is_churn_eligible
-        FROM stg_subscriptions s LEFT JOIN issues_subscriptions q USING (subscription_id)
-        WHERE ifnull(q.excluded_from_marts, FALSE) IS FALSE""",
+        WITH backward AS (
+            SELECT list(subscription_id) AS ids FROM issues_subscriptions WHERE has_invalid_end_date
+        ), unusable AS (
+            SELECT list(subscription_id) AS ids FROM issues_subscriptions WHERE excluded_from_marts
+        ), sound AS (
+            SELECT subscription_id, customer_id, plan_name, monthly_price, start_date, end_date,
+                   status, subscription_id IS NOT NULL AND EXISTS (FROM backward, unnest(ids) AS t(id)
+                       WHERE id = subscription_id) AS has_unreliable_end_date
+            FROM stg_subscriptions
+            WHERE NOT EXISTS (FROM unusable, unnest(ids) AS t(id) WHERE id = subscription_id)
+        )
+        SELECT *, CASE WHEN has_unreliable_end_date OR end_date IS NULL THEN FALSE
+                       ELSE status = 'cancelled' END AS is_churn_eligible FROM sound""",
     "paid_invoices_eur": """
         SELECT invoice_id, i.subscription_id, customer_id, plan_name, invoice_date,
                CAST(date_trunc('month', invoice_date) AS DATE) AS invoice_month,
@@ -205,22 +211,25 @@ VIEWS = {
                    AS is_future_cancellation
         FROM usable_subscriptions WHERE is_churn_eligible GROUP BY ALL""",
     # Checks that several statements need.
+    "withheld_ids": """
+        SELECT invoice_id, count(*) AS n_records FROM issues_invoices WHERE excluded_from_marts
+        GROUP BY invoice_id""",
+    "customer_starts": """
+        SELECT customer_id, customer_name, created_at,
+               (SELECT min(start_date) FROM subscriptions s WHERE s.customer_id = c.customer_id)
+                   AS earliest_subscription_start
+        FROM (SELECT DISTINCT customer_id, customer_name, created_at FROM customers) c""",
     "implausible_customers": f"""
-        SELECT c.customer_id, c.customer_name, c.created_at,
-               min(s.start_date) AS earliest_subscription_start
-        FROM customers c LEFT JOIN subscriptions s ON s.customer_id = c.customer_id
-        GROUP BY ALL
-        HAVING c.created_at > {AS_OF_DATE} OR c.created_at > min(s.start_date)""",
+        SELECT * FROM customer_starts
+        WHERE least(earliest_subscription_start, {AS_OF_DATE}) < created_at""",
     "negative_figures": """
-        SELECT 'fct_mrr' AS model, CAST(invoice_month AS VARCHAR) AS key, mrr_eur AS value
-        FROM mrr_by_month_plan WHERE mrr_eur < 0
-        UNION ALL BY NAME
-        SELECT 'customer_ltv' AS model, customer_id AS key, total_revenue_eur AS value
-        FROM customer_ltv WHERE total_revenue_eur < 0
-        UNION ALL BY NAME
-        SELECT 'subscription_churn' AS model, CAST(churn_month AS VARCHAR) AS key,
-               mrr_lost_eur AS value
-        FROM subscription_churn WHERE mrr_lost_eur <= 0""",
+        WITH figures (model, key, value, least_allowed) AS (
+            SELECT 'subscription_churn', CAST(churn_month AS VARCHAR), mrr_lost_eur, 0.01
+            FROM subscription_churn
+            UNION ALL SELECT 'customer_ltv', customer_id, total_revenue_eur, 0 FROM customer_ltv
+            UNION ALL SELECT 'fct_mrr', CAST(invoice_month AS VARCHAR), mrr_eur, 0
+            FROM mrr_by_month_plan)
+        SELECT * EXCLUDE (least_allowed) FROM figures WHERE value < least_allowed""",
     "revenue_totals": """
         SELECT CAST(m.total AS DECIMAL(28,2)) AS fct_mrr_total_eur,
                CAST(l.total AS DECIMAL(28,2)) AS customer_ltv_total_eur,
@@ -228,10 +237,8 @@ VIEWS = {
         FROM (SELECT sum(mrr_eur) AS total FROM mrr_by_month_plan) m,
              (SELECT sum(total_revenue_eur) AS total FROM customer_ltv) l""",
     "quarantined_revenue": """
-        SELECT r.invoice_id, r.subscription_id, r.amount_eur
-        FROM paid_invoices_eur r SEMI JOIN
-             (SELECT invoice_id FROM issues_invoices WHERE excluded_from_marts) q
-             USING (invoice_id)""",
+        SELECT invoice_id, subscription_id, amount_eur, n_records FROM paid_invoices_eur
+        NATURAL JOIN withheld_ids""",
 }
 
 RAW_KEYS = {
@@ -501,9 +508,10 @@ QUERIES = {
     "dq_mrr_ltv_reconcile_probe": "SELECT * FROM revenue_totals",
     "dq_no_quarantined_revenue": "SELECT * FROM quarantined_revenue",
     "dq_no_quarantined_revenue_probe": """
-        SELECT count(*) AS n_invoices, count(*) FILTER (amount IS NULL) AS n_without_amount
-        FROM stg_invoices WHERE status = 'paid'
-         AND invoice_id IN (SELECT q.invoice_id FROM issues_invoices q WHERE q.excluded_from_marts)
+        SELECT count(*) AS n_invoices, CAST(sum(n_records) AS BIGINT) AS n_pairs,
+               count(*) FILTER (amount IS NULL) AS n_without_amount
+        FROM (FROM stg_invoices UNION ALL FROM stg_invoices) NATURAL JOIN withheld_ids
+        WHERE status = 'paid'
         """,
     "dq_suite_report": _suite(),
     "dq_suite_totals": f"""SELECT outcome, count(*) AS checks FROM ({_suite()}) AS s
@@ -561,11 +569,7 @@ QUERIES = {
         SELECT CAST(p.t AS DECIMAL(20,2)) AS price_total, c.n AS n_customers
         FROM (SELECT sum(monthly_price) AS t FROM subscriptions) p
         CROSS JOIN (SELECT count(DISTINCT customer_id) AS n FROM customers) c""",
-    "agg_before_left_join": """
-        SELECT c.customer_id, c.customer_name, c.created_at,
-               min(s.start_date) AS earliest_subscription_start
-        FROM customers c LEFT JOIN subscriptions s ON s.customer_id = c.customer_id
-        GROUP BY ALL""",
+    "agg_before_left_join": "SELECT * FROM customer_starts",
     "multi_count_distinct": """
         SELECT currency, status, count(*) AS n_invoices,
                count(DISTINCT subscription_id) AS n_subscriptions,

@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     rows = table(spark, sf_dir, "customer").join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey")
+        nation, F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
     return rows.selectExpr(
         "'C' || lpad(cast(c_custkey as string), 9, '0') AS customer_id",

@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from ledgerline.workload.oracle import ORACLE_SQL as ORACLE
+from ledgerline.workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = spark_entry.queries(), spark_entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables not mounted")
 
@@ -23,6 +24,7 @@ def con():
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(spark_entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -73,12 +73,12 @@ def test_refresh(spark, raw, tmp_path):
     assert "UNKNOWN" in comment
     described = rows(spark.sql("DESCRIBE TABLE EXTENDED billing_dev.customer_ltv"))
     assert {r["col_name"]: r["comment"] for r in described}["country"] == comment
-    assert any("revenue to date" in (r["data_type"] or "") for r in described)
+    assert any("has paid so far" in (r["data_type"] or "") for r in described)
     assert done.raw_counts["customers"]["n_duplicates"] == 1
 
     # Again, under a new id: the same state.
     refresh(spark, sources, base, as_of="2026-09-01", run_id="two")
-    assert versions.current()["fct_mrr"].endswith("two/fct_mrr")
+    assert run_of(versions, "fct_mrr") == "two"
     assert sorted(map(str, rows(versions.read("fct_mrr")))) == sorted(map(str, mrr))
     assert Versions(spark, f"{base}/raw").read("customers").count() == 6
 
@@ -86,7 +86,91 @@ def test_refresh(spark, raw, tmp_path):
     bad_plan = raw(CUSTOMERS, [subscription("S1", plan="platinum")], [invoice()])
     with pytest.raises(MartContractError, match=r"accepted_values_fct_mrr_plan_name \(1\)"):
         refresh(spark, bad_plan, base, as_of="2026-09-01", run_id="three")
-    assert versions.current()["fct_mrr"].endswith("two/fct_mrr")
+    assert run_of(versions, "fct_mrr") == "two"
+
+    # The same under the id that is published: neither the log nor the view moves.
+    with pytest.raises(MartContractError, match="accepted_values_fct_mrr_plan_name"):
+        refresh(spark, bad_plan, base, as_of="2026-09-01", run_id="two")
+    for frame in (versions.read("fct_mrr"), spark.table("billing_dev.fct_mrr")):
+        assert sorted(map(str, rows(frame))) == sorted(map(str, mrr))
+    raw_versions = Versions(spark, f"{base}/raw")
+    before = raw_versions.current()
+    nameless = {**sources, "customers": sources["customers"].withColumn("customer_id", F.lit(None).cast("string"))}
+    with pytest.raises(RawValidationError):
+        load_raw(spark, nameless, base, "two")
+    assert raw_versions.current() == before and raw_versions.read("subscriptions").count() == 1
+
+
+def run_of(versions, relation):
+    return versions.current()[relation].split("/")[-2].split("-")[0]
+
+
+def test_interleaved_refreshes_read_their_own_raw(spark, raw, tmp_path, monkeypatch):
+    """While one run builds its marts, another replaces raw; the first must not see it."""
+    import sys
+
+    module = sys.modules["ledgerline.publish.refresh"]
+    base, other = str(tmp_path), raw([customer("C9")], [subscription("S9", "C9")], [invoice("I9", "S9", amount="1.00")])
+    load = module.load_raw
+
+    def load_and_be_overtaken(*args):
+        loaded = load(*args)
+        load(spark, other, base, "overtaking")
+        return loaded
+
+    monkeypatch.setattr(module, "load_raw", load_and_be_overtaken)
+    refresh(spark, raw([customer()], [subscription()], [invoice()]), base, as_of="2026-09-01")
+    assert [r["mrr_eur"] for r in rows(Versions(spark, f"{base}/dev").read("fct_mrr"))] == [Decimal("29.00")]
+    assert run_of(Versions(spark, f"{base}/raw"), "customers") == "overtaking"
+
+
+def test_only_the_kept_runs_remain(spark, raw, tmp_path):
+    import os
+
+    base, data = str(tmp_path), raw([customer()], [subscription()], [invoice()])
+    for k in range(3):
+        refresh(spark, data, base, as_of="2026-09-01", run_id=f"r{k}", keep_runs=1)
+    for place in ("dev", "raw"):
+        left = [d for d in os.listdir(f"{base}/{place}/_runs") if not d.startswith(".")]
+        assert len(left) == 1 and left[0].startswith("r2-")
+        assert len([d for d in os.listdir(f"{base}/{place}/_versions") if not d.startswith(".")]) == 1
+    assert "flagged_subscriptions" not in os.listdir(f"{base}/dev/_runs/{os.listdir(f'{base}/dev/_runs')[0]}")
+    assert spark.table("billing_dev.fct_mrr").count() == 1
+    with pytest.raises(MartContractError):
+        refresh(spark, raw([customer()], [subscription(plan="platinum")], [invoice()]), base, keep_runs=1)
+    assert len(os.listdir(f"{base}/dev/_runs")) == 1
+
+
+def rates_of(spark, *rows_):
+    return spark.createDataFrame([(c, Decimal(r) if r else None) for c, r in rows_], "currency string, rate_to_eur decimal(10,4)")
+
+
+def test_rates_are_one_checked_relation(spark, raw, tmp_path):
+    data = raw([customer()], [subscription()], [invoice("I1"), invoice("I2", amount="10.00", currency="USD")])
+    new = rates_of(spark, ("EUR", "1.0000"), ("USD", "0.5000"))
+    base = str(tmp_path)
+    refresh(spark, data, base, as_of="2026-09-01", rates=new)
+    versions = Versions(spark, f"{base}/dev")
+    assert [r["mrr_eur"] for r in rows(versions.read("fct_mrr"))] == [Decimal("34.00")]
+    assert rows(versions.read("issues_invoices")) == []
+    double = rates_of(spark, ("EUR", "1.0000"), ("EUR", "1.0000"))
+    with pytest.raises(MartContractError, match=r"unique_int_fx_rates_currency \(1\)"):
+        refresh(spark, data, base, as_of="2026-09-01", rates=double)
+    for broken in (rates_of(spark, ("EUR", None)), rates_of(spark, ("EUR", "1.0000"), (None, "2.0000"))):
+        with pytest.raises(MartContractError, match="not_null_int_fx_rates"):
+            refresh(spark, data, base, as_of="2026-09-01", rates=broken)
+    assert [r["mrr_eur"] for r in rows(versions.read("fct_mrr"))] == [Decimal("34.00")]
+
+
+def test_sources_are_held_to_the_contract(spark, sources, tmp_path):
+    wrong = {**sources, "invoices": sources["invoices"].withColumn("amount", F.col("amount").cast("double")).drop("status")}
+    with pytest.raises(IngestError, match="amount is double and not decimal.10,2., status is missing"):
+        load_raw(spark, wrong, str(tmp_path), "a")
+    long = {**sources, "invoices": sources["invoices"].withColumn("currency", F.lit("x" * 11))}
+    with pytest.raises(IngestError, match="invoices: cannot be loaded") as e:
+        load_raw(spark, long, str(tmp_path), "a")
+    assert "longer than 10" in str(e.value.__cause__)
+    assert Versions(spark, f"{tmp_path}/raw").current() == {}
 
 
 def test_nothing_paid_fails_the_reconciliation(raw, spark, tmp_path):
@@ -102,10 +186,11 @@ def test_load_is_all_or_nothing(spark, sources, tmp_path):
     with pytest.raises(IngestError, match="invoices: expected 9 rows, found 8"):
         load_raw(spark, sources, base, "b", {"invoices": 9})
     nameless = {**sources, "customers": sources["customers"].withColumn("customer_id", F.lit(None).cast("string"))}
-    with pytest.raises(RawValidationError, match="6 rows without a customer_id"):
+    with pytest.raises(RawValidationError, match="customers.keyless.: 6 without customer_id"):
         load_raw(spark, nameless, base, "c")
     assert Versions(spark, f"{base}/raw").current() == {}
-    assert load_raw(spark, sources, base, "d")["subscriptions"]["n_duplicates"] == 1
+    counts, copy = load_raw(spark, sources, base, "d")
+    assert counts["subscriptions"]["n_duplicates"] == 1 and copy["customers"].count() == 6
     loaded = Versions(spark, f"{base}/raw").read("invoices")
     assert loaded.where("status = 'PAID '").count() == 1
 
@@ -116,12 +201,17 @@ def test_reconciliation_catches_deduplication_and_unreadable_copies(spark, sourc
     def read_copy(name):
         return copies[name] if name in copies else spark.read.parquet("/nowhere/at/all")
 
-    problems, counts = reconcile.problems(sources, read_copy)
-    assert problems == [
-        "customers: 6 rows at source, 5 in the copy",
-        "subscriptions: copy cannot be read (PATH_NOT_FOUND)",
-    ]
-    assert counts["invoices"]["is_faithful"] and not counts["customers"]["is_faithful"]
+    keys = {"customers": "customer_id", "subscriptions": "subscription_id", "invoices": "invoice_id"}
+    observed = {
+        n: f.agg(*[c.alias(m) for m, c in reconcile.fingerprint(keys[n]).items()]).first().asDict()
+        for n, f in sources.items()
+    }
+    report, counts = reconcile.differences(observed, read_copy)
+    assert [r.split(":")[0] for r in report] == ["customers[rows]", "customers[keys]", "subscriptions[unreadable]"]
+    assert report[0] == "customers[rows]: written 6, read 5"
+    assert counts["invoices"] == {"n_rows": 8, "n_keys": 8, "n_null_keys": 0, "n_duplicates": 0}
+    compared = reconcile.compare("customers", "customer_id", sources["customers"], copies["customers"])
+    assert compared.first()["is_faithful"] is False
 
 
 def test_row_ids_follow_content(spark, sources, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from ledgerline.errors import IngestError
 from ledgerline.schemas import CUSTOMERS, INVOICES, SUBSCRIPTIONS
 from ledgerline.sources import read_billing_csv, read_csv_table
-from ledgerline.sources.jdbc import read_jdbc_table
+from ledgerline.sources.jdbc import read_billing_jdbc, read_jdbc_table
 
 INVOICE_HEADER = "invoice_id,subscription_id,invoice_date,amount,currency,status\n"
 
@@ -107,19 +107,35 @@ class FakeReader:
         return self
 
     def jdbc(self, url, table, **options):
-        self.calls.append(options)
+        self.calls.append(options | {"table": table})
+        if table.startswith("(SELECT MIN("):
+            column = table[len("(SELECT MIN(") :].split(")")[0]
+            return self.frame.selectExpr(f"min({column}) AS low", f"max({column}) AS high")
         return self.frame
 
 
 def test_jdbc_ranges_come_from_the_table_and_cover_it(spark):
     frame = spark.sql("SELECT DATE '2024-01-01' AS d UNION ALL SELECT DATE '2024-12-31' UNION ALL SELECT NULL")
     reader = FakeReader(frame)
-    read_jdbc_table(reader, "jdbc:x", "invoices", split_by="d", partitions=8)
+    read_jdbc_table(reader, "jdbc:x", "invoices", key="k", split_by="d", partitions=8)
+    assert reader.calls[0]["table"] == "(SELECT MIN(d) AS low, MAX(d) AS high FROM invoices) bounds"
     cut = reader.calls[-1]
     assert (cut["column"], cut["lowerBound"], cut["upperBound"], cut["numPartitions"]) == (
         "d", "2024-01-01", "2024-12-31", 8)
-    reader = FakeReader(frame.where("false"))
-    read_jdbc_table(reader, "jdbc:x", "invoices", split_by="d")
-    assert "column" not in reader.calls[-1]
-    read_jdbc_table(reader, "jdbc:x", "invoices", predicates=["d < '2024-06-01'", "d >= '2024-06-01' OR d IS NULL"])
-    assert len(reader.calls[-1]["predicates"]) == 2
+    halves = ["d < '2024-06-01'", "d >= '2024-06-01' OR d IS NULL"]
+    read_jdbc_table(reader, "jdbc:x", "invoices", key="k", split_by="d", predicates=halves)
+    assert reader.calls[-1]["predicates"] == halves and len(reader.calls) == 3
+
+
+@pytest.mark.parametrize("rows_", ["SELECT DATE '2024-01-01' AS d", "SELECT CAST(NULL AS DATE) AS d", None])
+def test_jdbc_without_a_range_is_cut_by_the_key(spark, rows_):
+    reader = FakeReader(spark.sql(rows_ or "SELECT 1 AS d"))
+    read_jdbc_table(reader, "jdbc:x", "invoices", key="k", split_by="d" if rows_ else None, partitions=3)
+    assert reader.calls[-1]["predicates"] == [
+        "MOD(CRC32(k), 3) = 0 OR k IS NULL", "MOD(CRC32(k), 3) = 1", "MOD(CRC32(k), 3) = 2"]
+
+
+def test_jdbc_tables_are_held_to_the_contract(spark):
+    frame = spark.createDataFrame([], "customer_id string, customer_name string, email string, country string, created_at string")
+    with pytest.raises(IngestError, match="created_at is string and not date"):
+        read_billing_jdbc(FakeReader(frame), "jdbc:x", predicates={"customers": ["1 = 1"]})
