@@ -37,6 +37,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def whole_rows(docs: DataFrame, *beside: Column) -> DataFrame:
+    """Each row as a struct `row`, beside other columns, whose names then cannot clash with its own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *beside)
+
+
 def row_key(*columns: str) -> Column:
     """Two 64-bit hashes that tell rows apart by some columns; equal rows share it."""
     nulls = [F.col(c).isNull() for c in columns]

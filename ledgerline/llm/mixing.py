@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.llm.frames import stored
+from ledgerline.llm.frames import stored, whole_rows
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -111,14 +111,17 @@ def _reduce(rows: DataFrame, level: int, last: bool, seed: int) -> DataFrame:
     return rows.groupBy("source_no", "grp").applyInArrow(meet, _ROW)
 
 
-def copies(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """Every row with its size, its source's size and target, and how often the mix takes it."""
+def copies(docs: DataFrame, key: Column | None = None, seed: int = SEED) -> DataFrame:
+    """Every row with its size, its source's size and target, and how often the mix takes it.
+
+    `key` tells rows apart; rows that share it must share doc_id, source and size.
+    """
     spark = docs.sparkSession
-    if "key" not in docs.columns:
-        docs = docs.withColumn("key", F.xxhash64("doc_id", "source", "text"))
+    if key is None:
+        key = F.xxhash64("doc_id", "source", "text")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        "key",
+        key.alias("key"),
         F.col("source").cast("string").alias("source"),
         words_in().alias("size"),
     )
@@ -198,9 +201,9 @@ def mix(docs: DataFrame) -> DataFrame:
 
     Equal rows share the copies that any of them got.
     """
-    everything = F.xxhash64(*docs.columns, *[F.col(c).isNull() for c in docs.columns])
-    keyed = docs.withColumn("key", everything)
-    taken = copies(keyed).groupBy("key").agg(F.sum("copies").alias("n")).where("n > 0")
-    once = keyed.dropDuplicates(["key"])
-    spread = F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))
-    return once.join(taken, "key").withColumn("n", spread).select(*docs.columns)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    key = F.xxhash64(*columns, *[c.isNull() for c in columns])
+    taken = copies(docs, key).groupBy("key").agg(F.sum("copies").alias("n")).where("n > 0")
+    once = whole_rows(docs, key.alias("key")).dropDuplicates(["key"])
+    spread = F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("nth")
+    return once.join(taken, "key").select("row", spread).select("row.*")
