@@ -1,5 +1,6 @@
 """Small tables and brute-force versions the operators are held against."""
 
+import hashlib
 import re
 
 SPACED = re.compile("[^\x20\x09-\x0d]+")
@@ -54,3 +55,24 @@ def labels(spark, rows=()):
 def counted(frame, *columns):
     """Rows of a frame, sorted, as tuples of some columns."""
     return sorted((tuple(r[c] for c in columns) for r in frame.collect()), key=repr)
+
+
+def leaks(documents, items):
+    """The columns of LEAKS per document, by looking at every window."""
+    windows = {}
+    for item, text in items:
+        w = ALNUM.findall(lower(text))
+        for k in range(max(len(w) - 9, min(len(w), 1))):
+            windows.setdefault(tuple(w[k : k + 10]), set()).add("" if item is None else str(item))
+    out = []
+    for doc_id, text, *_ in documents:
+        w = ALNUM.findall(lower(text))
+        hit, found = set(), set()
+        for size in {len(x) for x in windows}:
+            for k in range(len(w) - size + 1):
+                if own := windows.get(tuple(w[k : k + size])):
+                    found |= own
+                    hit.update(range(k, k + size))
+        sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((doc_id, len(w), len(hit), len(found), sha, bool(hit)))
+    return sorted(out, key=repr)

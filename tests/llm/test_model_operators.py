@@ -12,11 +12,22 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import EDGES, SPACED, counted, docs, edges, labels, lower, nothing
+from helpers import EDGES, SPACED, counted, docs, edges, labels, leaks, lower, nothing
 from tokenizers import Tokenizer, models
 
 import corpus_pipeline
-from ledgerline.llm import chat, context_tree, jaccard, secrets, token_count, toxicity
+from ledgerline.llm import (
+    chat,
+    context_tree,
+    jaccard,
+    mixing,
+    orc_tokens,
+    quality,
+    secrets,
+    token_count,
+    toxicity,
+)
+from ledgerline.llm.frames import stored
 from ledgerline.llm.queries import ORACLE_SQL
 from ledgerline.llm.text import TextBlock
 
@@ -342,15 +353,37 @@ def test_blocks_of_words_respect_texts():
     assert len(set(words.hashes().tolist())) == 4
 
 
-def test_pipeline_stages_keep_columns_and_take_effect(spark):
+def test_pipeline_against_brute_force(spark):
     sf_dir = "/root/testdata/sf0.001"
     frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    frames = [frame]
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        after = stage(spark, frame, sf_dir)
-        if k < 4:
-            assert after.columns == frame.columns
-            assert 0 < after.count() and (k == 3 or after.count() < frame.count())
-            frame = after
-    rows = sorted(after.collect(), key=lambda r: r["start"])
-    assert len(rows) == frame.count()
-    assert [r["start"] for r in rows] == [sum(x["n_tokens"] for x in rows[:k]) for k in range(len(rows))]
+        frames.append(stored(stage(spark, frames[-1], sf_dir), "test"))
+        assert k == 4 or frames[-1].columns == frame.columns
+    ids = [[r["doc_id"] for r in f.select("doc_id").collect()] for f in frames]
+    rows = [[(r["doc_id"], r["text"]) for r in f.select("doc_id", "text").collect()] for f in frames[:-1]]
+    # Quality: what is left passes the base rules, and nothing went that the report keeps.
+    field = quality.fit(frame, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert sorted(ids[1]) == sorted(r["doc_id"] for r in quality.report(frame, field).where("kept").collect())
+    assert 0 < len(ids[1]) < len(ids[0])
+    # Near copies: the smallest id of each group.
+    assert sorted(ids[2]) == sorted({c for _, n, c in near(rows[1])}) and len(ids[2]) < len(ids[1])
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    assert sorted(ids[3]) == sorted(r[0] for r in leaks(rows[2], items) if not r[-1])
+    assert len(ids[3]) < len(ids[2])
+    # The mix: at most twice each, near the targets.
+    times = Counter(ids[4])
+    assert set(times) <= set(ids[3]) and max(times.values()) <= 2
+    size = {k: len(SPACED.findall(t)) for k, t in rows[3]}
+    source = {r["doc_id"]: r["source"] for r in frames[3].collect()}
+    goal = mixing.targets(dict(sum((Counter({source[k]: n}) for k, n in size.items()), Counter())))
+    taken = sum((Counter({source[k]: n * size[k]}) for k, n in times.items()), Counter())
+    assert all(abs(taken[s] - goal[s]) <= max(size[k] for k in size if source[k] == s) / 2 + 1 for s in goal)
+    # Tokens: the library's, in order of doc_id.
+    tokenizer = Tokenizer.from_file(orc_tokens.VOCABULARY)
+    start, expected = 0, []
+    for doc_id, text in sorted(rows[4]):
+        own = tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        expected.append((doc_id, start, len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
+        start += len(own)
+    assert counted(frames[5], "doc_id", "start", "n_tokens", "ids_crc32") == sorted(expected, key=repr)

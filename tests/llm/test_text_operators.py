@@ -1,6 +1,5 @@
 """Quality rules, decontamination, token files, mixing: against brute force and on edge cases."""
 
-import hashlib
 import random
 import zlib
 from collections import Counter
@@ -8,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import ALNUM, EDGES, LONG, SPACED, counted, docs, edges, labels, lower, nothing
+from helpers import EDGES, LONG, SPACED, counted, docs, edges, labels, leaks, nothing
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -91,27 +90,6 @@ def test_quality_on_edges_and_nothing(spark):
     assert quality.report(empty, quality.fit(empty, labels(spark))).count() == 0
 
 
-def leaks(documents, items, slop=0):
-    """(n_words, n_hit, item ids) per document."""
-    windows = {}
-    for item, text in items:
-        w = ALNUM.findall(lower(text))
-        for k in range(max(len(w) - 9, min(len(w), 1))):
-            windows.setdefault(tuple(w[k : k + 10]), set()).add("" if item is None else str(item))
-    out = []
-    for doc_id, text, *_ in documents:
-        w = ALNUM.findall(lower(text))
-        hit, found = set(), set()
-        for size in {len(x) for x in windows}:
-            for k in range(len(w) - size + 1):
-                if own := windows.get(tuple(w[k : k + size])):
-                    found |= own
-                    hit.update(range(k, k + size))
-        sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
-        out.append((doc_id, len(w), len(hit), len(found), sha, bool(hit)))
-    return sorted(out, key=repr)
-
-
 LEAKS = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
