@@ -19,6 +19,13 @@ KEY_COLUMNS = {
     "invoices": ("invoice_id", "subscription_id"),
 }
 MARTS = ("fct_mrr", "customer_ltv", "subscription_churn")
+# What `build_together` builds at the same time, in order. `issues_invoices` brings `issues_subscriptions`.
+WAVES = (
+    ("flagged_subscriptions", "issues_customers"),
+    ("int_subscriptions", "issues_invoices"),
+    ("int_paid_invoices_eur", "subscription_churn"),
+    ("fct_mrr", "customer_ltv"),
+)
 
 
 class Models:
@@ -127,16 +134,15 @@ class Models:
         return {name: getattr(self, name) for name in MARTS}
 
     def build_together(self) -> None:
-        """Act on all relations in two waves, those of the second at the same time.
+        """Act on all relations in waves, those of a wave at the same time.
 
-        First what others read, in order; then the marts and the rest, which only read what is
-        written by now. Overlapping them fills the cluster while one is down to its last tasks.
+        A relation is in the first wave whose predecessors hold all it reads, so it only reads what is
+        written by then, and no two threads build the same one. Overlapping them fills the cluster
+        while one is down to its last tasks.
         """
-        for name in ("flagged_subscriptions", "int_subscriptions", "int_paid_invoices_eur"):
-            getattr(self, name)
-        remaining = (*MARTS, "issues_customers")
         build = inheritable_thread_target(self.raw["invoices"].sparkSession)(
             lambda name: getattr(self, name)
         )
-        with ThreadPoolExecutor(len(remaining)) as pool:
-            list(pool.map(build, remaining))
+        for wave in WAVES:
+            with ThreadPoolExecutor(len(wave)) as pool:
+                list(pool.map(build, wave))
