@@ -17,6 +17,9 @@ from ledgerline.llm import (
     toxicity,
 )
 from ledgerline.llm.frames import documents
+from ledgerline.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 
 def op10_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,70 +66,14 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_regions": op1_jaccard_regions,
     "op2_context_tree": op2_context_tree,
-    "op4_lexicon_automata": op4_lexicon_automata,
     "op3_perspective_rotation": op3_perspective_rotation,
-    "op8_viterbi_counts": op8_viterbi_counts,
-    "op6_secret_ownership": op6_secret_ownership,
-    "op1_jaccard_regions": op1_jaccard_regions,
+    "op4_lexicon_automata": op4_lexicon_automata,
     "op5_orc_token_ids": op5_orc_token_ids,
-    "op9_pivotal_mix": op9_pivotal_mix,
+    "op6_secret_ownership": op6_secret_ownership,
     "op7_positional_index": op7_positional_index,
+    "op8_viterbi_counts": op8_viterbi_counts,
+    "op9_pivotal_mix": op9_pivotal_mix,
     "op10_line_labels": op10_line_labels,
 }
-
-_FOUND = "\n    UNION ALL ".join(
-    f"SELECT rid, '{kind}' AS kind, regexp_extract_all(t, '{quoted}') AS m,"
-    f" string_split_regex(t, '{quoted}') AS gaps FROM d"
-    for kind, quoted in ((k, p.replace("'", "''")) for k, p in secrets.PATTERNS.items())
-)
-_ASSIGN = secrets.PATTERNS[secrets.ASSIGN].replace("'", "''")
-ORACLE_SQL = {
-    "op3_perspective_rotation": chat.ORACLE_SQL,
-    "op6_secret_ownership": f"""
-WITH d AS (
-    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, source, lang FROM documents
-), found AS (
-    {_FOUND}
-), each AS (
-    SELECT rid, kind, unnest(m) AS m, unnest(gaps[1:len(m)]) AS gap, unnest(range(len(m))) AS i
-    FROM found
-), placed AS (
-    SELECT *, CASE kind WHEN 'assign' THEN regexp_extract(m, '{_ASSIGN}', 2) ELSE m END AS v,
-        sum(length(gap) + length(m)) OVER (PARTITION BY rid, kind ORDER BY i) AS e
-    FROM each
-), kept AS (
-    SELECT rid, kind, source, lang, v, e - length(m) AS s, e, e - length(v) AS vs
-    FROM placed JOIN d USING (rid)
-    WHERE length(v) >= CASE kind WHEN 'assign' THEN 12 WHEN 'access' THEN 18 WHEN 'hex' THEN 16
-        ELSE 20 END
-), owned AS (
-    SELECT v, count(*) AS owners FROM (SELECT DISTINCT v, source FROM kept) GROUP BY v
-), judged AS (
-    SELECT *, owners = 1 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
-        AND len(list_distinct(string_split(v, ''))) >= 8 AS live
-    FROM kept JOIN owned USING (v)
-), spans AS (
-    SELECT DISTINCT rid, s, kind, e,
-        CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 ELSE 2 END AS k
-    FROM judged WHERE kind <> 'mixed'
-    UNION ALL SELECT DISTINCT rid, vs, 'live', e, 4 FROM judged WHERE live
-), listed AS (
-    SELECT rid,
-        string_agg(concat_ws(':', kind, s::BIGINT, e::BIGINT), ',' ORDER BY s, k, e)
-            FILTER (WHERE kind <> 'live') AS base,
-        string_agg(concat_ws(':', kind, s::BIGINT, e::BIGINT), ',' ORDER BY s, k, e) AS spans,
-        count(*) FILTER (WHERE kind = 'live') AS n_live
-    FROM spans GROUP BY rid
-), counted AS (
-    SELECT rid, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
-        count(*) FILTER (WHERE kind = 'access') AS n_access,
-        count(*) FILTER (WHERE kind = 'hex') AS n_hex,
-        count(*) FILTER (WHERE owners >= 3) AS n_example
-    FROM judged GROUP BY rid
-)
-SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
-    coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-    coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
-FROM d LEFT JOIN counted USING (rid) LEFT JOIN listed USING (rid)""",
-}
