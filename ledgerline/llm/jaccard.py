@@ -16,7 +16,10 @@ one point. The regions come in two kinds:
   becomes the pivot of what is left, and by the triangle inequality only meets sets whose distance to
   the first pivot differs from its own by EPSILON at most. This goes on until nothing is left.
 
-A cell with more than CELL_SETS sets is cut into tiles. Each tile joins with the pivot, and only the sets
+Before whole sets meet in a cell, their counts in parts of the universe do. These are distances to
+pivots too, and sets whose counts differ by more than linked sets can are ruled out.
+
+A cell with more than CELL_NGRAMS n-grams is cut into tiles. Each tile joins with the pivot, and only the sets
 that do not link to the pivot, those beyond its ball, are copied to the other tiles. No cell, and no
 n-gram, is ever in one task whole because it is popular.
 
@@ -34,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.llm.frames import row_key, stored
+from ledgerline.llm.frames import row_key, small_batches, stored, whole_rows
 from ledgerline.llm.text import SPACED, TextBlock, blocks, mix, window_hashes
 
 WORDS = 5
@@ -43,12 +46,17 @@ PERCENT = 80
 EPSILON = 1 - PERCENT / 100
 # The order of n-grams knows the counts of this many, the most frequent ones. It only steers the work.
 FREQUENT = 1 << 18
-# N-grams held while counting; an n-gram met twice among them is reported.
-COUNTED_AT_ONCE = 4_000_000
+# N-grams held while counting; an n-gram met this often among them is reported.
+COUNTED_AT_ONCE = 2_000_000
+REPORTED = 6
 # From this count on the pivot of an n-gram's region is found by a distributed minimum.
 HOT = 2_000
 BUCKET_ROWS = 400_000
+# Sketches compared at once, and n-grams of whole sets joined at once.
 CELL_SETS = 4_000
+CELL_NGRAMS = 4_000_000
+# Rows of a few numbers that may be broadcast; more of them meet in a shuffled join.
+BROADCAST_ROWS = 1_000_000
 
 
 def ngram_sets(texts: pa.Array, size: int = WORDS) -> list[np.ndarray]:
@@ -76,6 +84,53 @@ def set_name(ngrams: np.ndarray) -> int:
     return int(total.view(np.int64)[0])
 
 
+def sketch(ngrams: np.ndarray) -> bytes:
+    """How many n-grams of a set lie in each part of the universe, up to 255; n / 8 parts or more.
+
+    Each count is a distance to a pivot that is a part: what one set has more of than another, in all
+    parts together, is at most the size of their difference.
+    """
+    parts = max(64, 1 << (len(ngrams) // 8).bit_length())
+    place = (ngrams >> np.uint64(16)).astype(np.int64) & (parts - 1)
+    return np.minimum(np.bincount(place, minlength=parts), 255).astype(np.uint8).tobytes()
+
+
+class Sketches:
+    """Sketches of some sets. Those of twice as many parts are folded to compare them."""
+
+    def __init__(self, sketches: list[bytes]):
+        counts = [np.frombuffer(c, dtype=np.uint8).astype(np.int16) for c in sketches]
+        self.parts = np.array([len(c) for c in counts], dtype=np.int64)
+        self.levels = {}
+        for level in np.unique(self.parts).tolist():
+            members = np.flatnonzero((self.parts == level) | (self.parts == 2 * level))
+            folded = [
+                counts[k] if len(counts[k]) == level else counts[k].reshape(2, -1).sum(axis=0)
+                for k in members.tolist()
+            ]
+            row = np.full(len(counts), -1)
+            row[members] = np.arange(len(members))
+            # Counts that were cut off at 255 before folding stay comparable cut off after it.
+            self.levels[level] = np.minimum(np.array(folded), 255), row
+
+    def near(self, size: np.ndarray, at: int, to: np.ndarray) -> np.ndarray:
+        """Which sets of `to` may link to one, by their counts; all of them may by their sizes.
+
+        Linked sets differ in a ninth of their n-grams, counted with both sets, at most.
+        """
+        out = np.zeros(len(to), dtype=bool)
+        common = np.minimum(self.parts[to], self.parts[at])
+        for level in np.unique(common).tolist():
+            matrix, row = self.levels[level]
+            here = np.flatnonzero(common == level)
+            # Sizes that allow a link are less than two apart in the number of parts.
+            there = row[to[here]]
+            apart = np.abs(matrix[there] - matrix[row[at]]).sum(axis=1, dtype=np.int64)
+            bound = (100 - PERCENT) * (size[to[here]] + size[at])
+            out[here] = apart * (100 + PERCENT) <= bound
+        return out
+
+
 def _named_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
         for part in blocks(batch, "text"):
@@ -92,21 +147,33 @@ def _members(docs: DataFrame) -> DataFrame:
                     *(part.column(c) for c in ("doc_id", "a", "b")),
                     pa.array([set_name(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([sketch(s) for s in sets], pa.binary()),
                 ],
-                ["doc_id", "a", "b", "sid", "n"],
+                ["doc_id", "a", "b", "sid", "n", "sketch"],
             )
 
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("k"), "text"
     ).select("doc_id", "k.a", "k.b", "text")
-    rows = keyed.mapInArrow(named, "doc_id long, a long, b long, sid long, n long")
+    rows = keyed.mapInArrow(named, "doc_id long, a long, b long, sid long, n long, sketch binary")
     return stored(rows, "members")
 
 
-def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """The most frequent n-grams, ascending, their counts, and the number of n-grams of all texts.
+def _fresh(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """Name and n-grams of every set a task meets, without copies and empty sets."""
+    seen = set()
+    for _, sets in _named_sets(batches):
+        for s in sets:
+            name = set_name(s)
+            if len(s) and name not in seen:
+                seen.add(name)
+                yield name, s
+
+
+def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent n-grams, ascending, and their counts.
 
-    Every task counts all its n-grams; those it meets once it keeps to itself.
+    Every task counts all its n-grams; those it meets less than REPORTED times it keeps to itself.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,94 +181,121 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
             all_ = np.sort(np.concatenate(held))
             first = np.flatnonzero(np.append(True, all_[1:] != all_[:-1]))
             times = np.diff(np.append(first, len(all_)))
-            often = times > 1
+            often = times >= REPORTED
             keys = pa.array(all_[first[often]].view(np.int64))
-            total = pa.array([None], pa.int64())
-            yield pa.RecordBatch.from_arrays([keys, pa.array(times[often])], ["ngram", "n"])
-            yield pa.RecordBatch.from_arrays([total, pa.array([len(all_)])], ["ngram", "n"])
-
-        held, size, seen = [], 0, set()
-        for _, sets in _named_sets(batches):
-            for s in sets:
-                name = set_name(s)
-                if len(s) and name not in seen:
-                    seen.add(name)
-                    held.append(s)
-                    size += len(s)
+            return pa.RecordBatch.from_arrays([keys, pa.array(times[often])], ["ngram", "n"])
+
+        held, size = [], 0
+        for _, s in _fresh(batches):
+            held.append(s)
+            size += len(s)
             if size > COUNTED_AT_ONCE:
-                yield from report(held)
-                held, size, seen = [], 0, set()
+                yield report(held)
+                held, size = [], 0
         if held:
-            yield from report(held)
+            yield report(held)
 
     counts = docs.select("text").mapInArrow(counted, "ngram long, n long")
-    counts = stored(counts.groupBy("ngram").agg(F.sum("n").alias("n")), "ngrams")
-    total = counts.where("ngram IS NULL").first()
-    top = counts.where("ngram IS NOT NULL").orderBy(F.desc("n"), "ngram").limit(FREQUENT).toArrow()
+    counts = counts.groupBy("ngram").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "ngram").limit(FREQUENT).toArrow()
     ngram = top.column("ngram").to_numpy().view(np.uint64)
     order = np.argsort(ngram)
-    return ngram[order], top.column("n").to_numpy()[order], total["n"] if total else 0
+    return ngram[order], top.column("n").to_numpy()[order]
 
 
 def _window(ngrams: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> tuple:
-    """The first n-grams of a set, so many that linked sets share one, and their counts."""
+    """The first n-grams of a set, so many that linked sets share one.
+
+    With the place of each among the frequent ones, or -1.
+    """
     n = len(ngrams)
     take = n - (PERCENT * n + 99) // 100 + 1
     if not len(frequent):
-        return ngrams[:take], np.zeros(take, dtype=np.int64)
+        return ngrams[:take], np.full(take, -1)
     at = np.minimum(np.searchsorted(frequent, ngrams), len(frequent) - 1)
-    known = np.where(frequent[at] == ngrams, counts[at], 0)
+    found = frequent[at] == ngrams
     # Sets are sorted by hash, and the sort is stable.
-    order = np.argsort(known, kind="stable")[:take]
-    return ngrams[order], known[order]
+    order = np.argsort(np.where(found, counts[at], 0), kind="stable")[:take]
+    return ngrams[order], np.where(found, at, -1)[order]
 
 
-def _pivots(docs: DataFrame, members: DataFrame, order: tuple) -> DataFrame:
-    """Pairs of a set and a pivot set of one of its regions; regions of one set are left out."""
+def _pivots(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs of a set and a pivot set of one of its regions; regions of one set are left out.
+
+    Rows go to a bucket of their n-gram, where each region finds its pivot. Rows of hot n-grams go by
+    their set instead, and their pivots come from a minimum with a map side.
+    """
     spark = docs.sparkSession
-    frequent, counts, total = order
-    shared = spark.sparkContext.broadcast((frequent, counts))  # at most FREQUENT entries
+    shared = spark.sparkContext.broadcast(_frequent(docs))  # at most FREQUENT entries
+    total = members.agg(F.sum("n")).first()[0] or 0
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(buckets, int(total) * (100 - PERCENT) // 100 // BUCKET_ROWS + 1)
+    buckets = max(buckets, total * (100 - PERCENT) // 100 // BUCKET_ROWS + 1)
 
     def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, counts = shared.value
-        for _, sets in _named_sets(batches):
-            windows = [(set_name(s), *_window(s, frequent, counts)) for s in sets if len(s)]
-            if not windows:
-                continue
-            sizes = [len(w) for _, w, _ in windows]
-            yield pa.RecordBatch.from_arrays(
+        hot_counts = np.append(counts, 0)
+        held, size = [], 0
+
+        def rows(held):
+            ngram = np.concatenate([w for _, w, _ in held])
+            rank = np.concatenate([r for _, _, r in held])
+            sizes = [len(w) for _, w, _ in held]
+            sid = np.repeat(np.array([name for name, _, _ in held]), sizes)
+            place = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
+            hot = hot_counts[rank] >= HOT
+            bucket = np.where(
+                hot, -1 - (sid.view(np.uint64) % np.uint64(buckets)).astype(np.int64),
+                (ngram % np.uint64(buckets)).astype(np.int64),
+            )
+            # Within a bucket 32 bits tell n-grams apart well enough; a mix-up only widens a region.
+            short = np.where(hot, rank, (ngram >> np.uint64(32)).view(np.int64))
+            return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([w for _, w, _ in windows]).view(np.int64)),
-                    pa.array(np.repeat(np.array([s for s, _, _ in windows]), sizes)),
-                    pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])),
-                    pa.array(np.concatenate([c for _, _, c in windows]) >= HOT),
+                    pa.array(bucket.astype(np.int32)),
+                    pa.array(short.astype(np.uint32).view(np.int32)),
+                    pa.array(sid),
+                    pa.array(place),
                 ],
-                ["ngram", "sid", "place", "hot"],
+                ["bucket", "ngram", "sid", "place"],
             )
 
-    # One document for each set is enough.
-    rows = _representatives(docs, members).mapInArrow(
-        regions, "ngram long, sid long, place int, hot boolean"
-    )
-    rows = stored(rows, "regions")
-
-    def cold_pivots(table: pa.Table) -> pa.Table:
+        for name, s in _fresh(batches):
+            held.append((name, *_window(s, frequent, counts)))
+            size += len(held[-1][1])
+            if size > 50_000:
+                yield rows(held)
+                held, size = [], 0
+        if held:
+            yield rows(held)
+
+    def with_pivots(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() < 0:
+            n = table.num_rows
+            return pa.table(
+                [*(table.column(c) for c in ("ngram", "place", "sid")), pa.nulls(n, pa.int64())],
+                names=["ngram", "place", "sid", "pivot"],
+            )
         ngram, sid = table.column("ngram").to_numpy(), table.column("sid").to_numpy()
         by = np.lexsort((sid, table.column("place").to_numpy(), ngram))
         ngram, sid = ngram[by], sid[by]
         first = np.flatnonzero(np.append(True, ngram[1:] != ngram[:-1]))
         size = np.diff(np.append(first, len(ngram)))
         pivot = np.repeat(sid[first], size)
-        shared_ = np.repeat(size > 1, size)
-        pairs = np.unique(np.stack([sid[shared_], pivot[shared_]], axis=1), axis=0)
-        return pa.table({"sid": pairs[:, 0], "pivot": pairs[:, 1]})
-
-    bucket = F.pmod(F.col("ngram"), F.lit(buckets)).cast("int").alias("bucket")
-    cold = rows.where("NOT hot").select("ngram", "sid", "place", bucket)
-    cold = cold.groupBy("bucket").applyInArrow(cold_pivots, "sid long, pivot long")
-    hot = rows.where("hot").select("ngram", "sid", "place")
+        several = np.repeat(size > 1, size)
+        pairs = np.unique(np.stack([sid[several], pivot[several]], axis=1), axis=0)
+        none = pa.nulls(len(pairs), pa.int32())
+        return pa.table(
+            [none, none, pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
+            names=["ngram", "place", "sid", "pivot"],
+        )
+
+    rows = docs.select("text").mapInArrow(regions, "bucket int, ngram int, sid long, place int")
+    rows = rows.groupBy("bucket").applyInArrow(
+        with_pivots, "ngram int, place int, sid long, pivot long"
+    )
+    rows = stored(rows, "regions")
+    cold = rows.where("pivot IS NOT NULL").select("sid", "pivot")
+    hot = rows.where("pivot IS NULL").select("ngram", "sid", "place")
     # At most FREQUENT rows.
     best = F.broadcast(
         hot.groupBy("ngram").agg(
@@ -212,18 +306,27 @@ def _pivots(docs: DataFrame, members: DataFrame, order: tuple) -> DataFrame:
     return stored(cold.unionByName(hot).distinct(), "pivots")
 
 
-def _representatives(docs: DataFrame, members: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """The text of one document for each set, or for each set of `only`."""
+def _representatives(docs: DataFrame, members: DataFrame, only: DataFrame) -> DataFrame:
+    """The text of one document for each of some sets."""
     best = members.where("n > 0").groupBy("sid").agg(F.min(F.struct("a", "b")).alias("k"))
-    if only is not None:
-        best = best.join(only, "sid", "left_semi")
-    best = best.select("k.a", "k.b")
+    best = _bounded(stored(best.join(only, "sid", "left_semi").select("k.a", "k.b"), "wanted"))
     keyed = docs.select(row_key("doc_id", "text").alias("k"), "text").select("k.a", "k.b", "text")
     return keyed.join(best, ["a", "b"], "left_semi").select("text")
 
 
+def packed(ngrams: np.ndarray) -> bytes:
+    """The upper six bytes of each n-gram, enough to tell those of two sets apart."""
+    return ngrams.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(data: pa.Buffer) -> np.ndarray:
+    wide = np.zeros((data.size // 6, 8), dtype=np.uint8)
+    wide[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    return wide.view(">u8").ravel().astype(np.uint64)
+
+
 def join_cell(
-    names: np.ndarray, sets: list[np.ndarray], pivot: int, probes: np.ndarray
+    sets: list[np.ndarray], pivot: int, probes: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Components among the sets of a cell, and the sets that do not link to the pivot.
 
@@ -246,6 +349,7 @@ def join_cell(
         return 100 * held >= PERCENT * union, 1 - held / union
 
     every = np.arange(len(sets))
+    counts = Sketches([sketch(s) for s in sets])
     near, distance = linked(pivot, every)
     component = every.copy()
     component[near] = pivot
@@ -256,6 +360,7 @@ def join_cell(
         window = np.abs(distance - distance[at]) <= EPSILON + 1e-9
         fits = 100 * np.minimum(size, size[at]) >= PERCENT * np.maximum(size, size[at])
         left = np.flatnonzero(window & fits & ~done & (component != component[at]))
+        left = left[counts.near(size, at, left)]
         if not len(left):
             continue
         hits, _ = linked(at, left)
@@ -264,62 +369,135 @@ def join_cell(
     return component, beyond
 
 
-_CELL = "pivot long, tile int, sid long, probe boolean, ngrams binary"
+def possible(size: np.ndarray, sketches: list[bytes]) -> np.ndarray:
+    """Groups of the sets of a cell that may be linked, by sizes and sketches: a number for each set.
+
+    A set that cannot link to any other has a number of its own.
+    """
+    order = np.argsort(size, kind="stable")
+    size, counts = size[order], Sketches([sketches[k] for k in order.tolist()])
+    group = np.arange(len(size))
+    ends = np.searchsorted(PERCENT * size, 100 * size, side="right")
+    for k, end in enumerate(ends.tolist()):
+        to = np.arange(k + 1, end)
+        to = to[group[to] != group[k]]
+        for other in np.unique(group[to[counts.near(size, k, to)]]).tolist():
+            group[group == other] = group[k]
+    out = np.empty_like(group)
+    out[order] = group
+    return out
+
+
+def _narrowed(table: pa.Table) -> pa.Table:
+    """The sets of a cell that may link to others in it, each with the first set of its group."""
+    order = table.sort_by("sid")
+    sid = order.column("sid").to_numpy()
+    group = possible(order.column("n").to_numpy(), order.column("sketch").to_pylist())
+    _, first, label, size = np.unique(group, return_index=True, return_inverse=True, return_counts=True)
+    left = size[label] > 1
+    return pa.table(
+        {
+            "sid": sid[left],
+            "other": sid[first[label]][left],
+            "pivot": np.full(int(left.sum()), order.column("pivot")[0].as_py()),
+        }
+    )
+
+
 _EDGE = "sid long, other long, tile int"
 
 
 def _in_cell(table: pa.Table) -> pa.Table:
     pivot, tile = table.column("pivot")[0].as_py(), table.column("tile")[0].as_py()
+    cell = table.column("cell")[0].as_py()
     by = table.sort_by([("sid", "ascending"), ("probe", "descending")])
     names = by.column("sid").to_numpy()
     # A probe that is at home here as well counts once.
     first = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
     names, probes = names[first], np.asarray(by.column("probe"))[first]
-    sets = [
-        np.frombuffer(x.as_buffer(), dtype="<u8") for x in by.column("ngrams").take(pa.array(first))
-    ]
+    sets = [unpacked(x.as_buffer()) for x in by.column("ngrams").take(pa.array(first))]
     out: list[tuple] = []
     if len(names) > 1:
-        component, beyond = join_cell(names, sets, int(np.searchsorted(names, pivot)), probes)
+        component, beyond = join_cell(sets, int(np.searchsorted(names, pivot)), probes)
         root = names[component]
         out = [(s, r, None) for s, r in zip(names.tolist(), root.tolist()) if s != r]
         if tile >= 0 and not probes.any():
             # What lies beyond the pivot's ball has to see the other tiles.
-            out += [(int(names[k]), pivot, tile) for k in beyond]
+            out += [(int(names[k]), cell, tile) for k in beyond]
     columns = list(zip(*out)) or [[]] * 3
     types = (pa.int64(), pa.int64(), pa.int32())
     return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["sid", "other", "tile"])
 
 
-def _cells(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links of all cells, as pairs of set names that make their components."""
-    sizes = pairs.groupBy("pivot").agg(F.count("*").alias("size"))
-    tiles = F.ceil(F.col("size") / F.lit(CELL_SETS)).cast("int")
-    sizes = sizes.where("size > 1").select("pivot", tiles.alias("tiles"))
-    rows = pairs.join(sizes, "pivot")
+def _bounded(rows: DataFrame) -> DataFrame:
+    """Marked for broadcast if it has few rows; the rows are a few numbers each."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def _placed(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Which sets meet in which cell and tile: cell, pivot, tiles, tile, sid.
+
+    Cells are narrowed by sketches first, which rules out nearly all sets that share no more than a
+    passage. What is left of them often overlaps, as a group of copies has several pivots; overlapping
+    cells are joined into one, so that every whole set travels once. Its pivot is the set that was one
+    for the most others.
+    """
+    sizes = pairs.groupBy("pivot").agg(F.count("*").alias("size")).where("size > 1")
+    rows = stored(pairs.join(sizes, "pivot"), "cells")
+    few = F.col("size") <= CELL_SETS
+    sketches = members.where("n > 0").groupBy("sid").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch")
+    )
+    narrowed = _bounded(rows.where(few).select("sid", "pivot")).join(sketches, "sid")
+    narrowed = narrowed.groupBy("pivot").applyInArrow(
+        _narrowed, "sid long, other long, pivot long"
+    )
+    large = rows.where(~few).select("sid", F.col("pivot").alias("other"), "pivot")
+    near = stored(narrowed.unionByName(large), "near")
+    roots = components(near.select("sid", "other"))
+    cell_of = near.select("sid").distinct().join(roots, "sid", "left")
+    cell_of = stored(cell_of.select("sid", F.coalesce("root", "sid").alias("cell")), "merged")
+    weight = near.groupBy(F.col("pivot").alias("sid")).agg(F.count("*").alias("weight"))
+    sized = cell_of.join(sketches.select("sid", "n"), "sid")
+    cells = sized.join(weight, "sid", "left").groupBy("cell").agg(
+        F.count("*").alias("size"),
+        F.sum("n").alias("ngrams"),
+        F.max(F.struct(F.coalesce("weight", F.lit(0)), "sid"))["sid"].alias("pivot"),
+    )
+    tiles = F.ceil(F.col("ngrams") / F.lit(CELL_NGRAMS)).cast("int")
+    cells = cells.where("size > 1").select("cell", "pivot", tiles.alias("tiles"))
+    # A cell of one tile has no tile number; the pivot of a larger one is in every tile.
     tile = F.pmod(F.xxhash64("sid"), F.col("tiles")).cast("int")
-    home = F.when(F.col("tiles") > 1, tile).otherwise(F.lit(-1))
-    # The pivot is in every tile.
-    everywhere = F.sequence(F.lit(0), F.col("tiles") - F.lit(1))
-    tile_of = F.when(
-        (F.col("tiles") > 1) & (F.col("sid") == F.col("pivot")), everywhere
-    ).otherwise(F.array(home))
-    placed = rows.select("pivot", "sid", F.explode(tile_of).alias("tile"), "tiles")
-    placed = stored(placed.withColumn("probe", F.lit(False)), "placed")
+    tile_of = (
+        F.when(F.col("tiles") == 1, F.array(F.lit(-1)))
+        .when(F.col("sid") == F.col("pivot"), _every_tile())
+        .otherwise(F.array(tile))
+    )
+    placed = cell_of.join(cells, "cell").withColumn("tile", F.explode(tile_of))
+    return stored(placed.select("cell", "pivot", "tiles", "tile", "sid"), "placed")
+
+
+def _every_tile():
+    return F.sequence(F.lit(0), F.col("tiles") - F.lit(1))
+
+
+def _cells(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of all cells, as pairs of set names that make their components."""
 
     def joined(part: DataFrame) -> DataFrame:
-        full = part.select("pivot", "tile", "sid", "probe").join(sets, "sid")
-        return full.groupBy("pivot", "tile").applyInArrow(_in_cell, _EDGE)
+        part = _bounded(part.select("cell", "pivot", "tile", "sid", "probe"))
+        return part.join(sets, "sid").groupBy("cell", "tile").applyInArrow(_in_cell, _EDGE)
 
-    links = stored(joined(placed), "links")
+    home = placed.withColumn("probe", F.lit(False))
+    links = stored(joined(home), "links")
     edges = links.where("tile IS NULL").select("sid", "other")
-    lonely = links.where("tile IS NOT NULL").select("sid", F.col("other").alias("pivot"), "tile")
+    lonely = links.where("tile IS NOT NULL").select("sid", F.col("other").alias("cell"), "tile")
     if not lonely.isEmpty():
-        tiles_of = placed.where("tiles > 1").select("pivot", "tiles").distinct()
-        probes = lonely.withColumnRenamed("tile", "own").join(tiles_of, "pivot")
-        probes = probes.withColumn("tile", F.explode(everywhere)).where("tile != own")
-        probes = probes.select("pivot", "sid", "tile", "tiles", F.lit(True).alias("probe"))
-        again = placed.where("tiles > 1").unionByName(probes)
+        cells = placed.where("tiles > 1").select("cell", "pivot", "tiles").distinct()
+        probes = lonely.withColumnRenamed("tile", "own").join(cells, "cell")
+        probes = probes.withColumn("tile", F.explode(_every_tile())).where("tile != own")
+        probes = probes.select("cell", "pivot", "tiles", "tile", "sid", F.lit(True).alias("probe"))
+        again = stored(home.where("tiles > 1").unionByName(probes), "again")
         more = stored(joined(again), "tiles").where("tile IS NULL").select("sid", "other")
         edges = edges.unionByName(more)
     return edges
@@ -354,25 +532,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 def members(docs: DataFrame) -> DataFrame:
     """Every row with its set's size, its component's root set, and the component's smallest doc_id."""
+    small_batches(docs)
     rows = _members(docs)
-    pairs = _pivots(docs, rows, _frequent(docs))
-    wanted = pairs.select("sid").distinct()
+    pairs = _pivots(docs, rows)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _named_sets(batches):
+        for name, ngrams in _fresh(batches):
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([set_name(s) for s in sets], pa.int64()),
-                    pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
-                ],
+                [pa.array([name]), pa.array([packed(ngrams)], pa.binary())],
                 ["sid", "ngrams"],
             )
 
-    texts = _representatives(docs, rows, wanted)
-    sets = stored(texts.mapInArrow(encoded, "sid long, ngrams binary"), "sets")
-    # Equal rows share a key, so a set may come more than once.
-    sets = sets.dropDuplicates(["sid"])
-    roots = components(_cells(pairs, sets))
+    placed = _placed(pairs, rows)
+    texts = _representatives(docs, rows, placed.select("sid").distinct())
+    sets = texts.mapInArrow(encoded, "sid long, ngrams binary")
+    roots = components(_cells(placed, sets))
     sets_of = rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first"))
     sets_of = sets_of.join(roots, "sid", "left").select(
         "sid", "first", F.coalesce("root", "sid").alias("root")
@@ -406,7 +580,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     keep = best.select("k.a", "k.b", F.lit(True).alias("once")).unionByName(
         rows.where("n_shingles = 0").select("a", "b", F.lit(False).alias("once")).distinct()
     )
-    keep = keep.select(F.struct("a", "b").alias("_key"), F.col("once").alias("_once"))
-    keyed = docs.withColumn("_key", row_key("doc_id", "text")).join(keep, "_key")
-    once = keyed.where("_once").dropDuplicates(["_key"])
-    return once.unionByName(keyed.where("NOT _once")).drop("_key", "_once").select(*docs.columns)
+    keyed = whole_rows(docs, row_key("doc_id", "text").alias("k")).select("row", "k.a", "k.b")
+    keyed = keyed.join(keep, ["a", "b"])
+    # A kept document that is there several times stays once.
+    once = keyed.where("once").dropDuplicates(["a", "b"])
+    return once.unionByName(keyed.where("NOT once")).select("row.*")
