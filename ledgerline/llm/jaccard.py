@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.llm.frames import row_key, small_batches, stored, whole_rows
 from ledgerline.llm.text import SPACED, TextBlock, blocks, mix, window_hashes
+from ledgerline.operators import keyed
 
 WORDS = 5
 # Linked: 100 * intersection >= PERCENT * union.
@@ -442,7 +443,7 @@ def _placed(pairs: DataFrame, members: DataFrame) -> DataFrame:
     cells are joined into one, so that every whole set travels once. Its pivot is the set that was one
     for the most others.
     """
-    sizes = pairs.groupBy("pivot").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = keyed(pairs, "pivot", F.count(F.lit(1)).alias("size")).where("size > 1")
     rows = stored(pairs.join(sizes, "pivot"), "cells")
     few = F.col("size") <= CELL_SETS
     sketches = members.where("n > 0").groupBy("sid").agg(
@@ -459,7 +460,9 @@ def _placed(pairs: DataFrame, members: DataFrame) -> DataFrame:
     cell_of = stored(cell_of.select("sid", F.coalesce("root", "sid").alias("cell")), "merged")
     weight = near.groupBy(F.col("pivot").alias("sid")).agg(F.count("*").alias("weight"))
     sized = cell_of.join(sketches.select("sid", "n"), "sid")
-    cells = sized.join(weight, "sid", "left").groupBy("cell").agg(
+    cells = keyed(
+        sized.join(weight, "sid", "left"),
+        "cell",
         F.count("*").alias("size"),
         F.sum("n").alias("ngrams"),
         F.max(F.struct(F.coalesce("weight", F.lit(0)), "sid"))["sid"].alias("pivot"),
