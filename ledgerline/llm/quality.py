@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerline.llm.frames import small_batches
 from ledgerline.llm.text import SPACED, TextBlock, blocks, mix, window_hashes
 
 MIN_WORDS = 10
@@ -260,6 +261,7 @@ def fit_field(lines: list[np.ndarray], labels: list[int], rounds: int = 80) -> F
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Field:
     """Fit on at most `sample` labelled texts; only their line features reach the driver."""
+    small_batches(docs)
     marks = (
         labels.where("quality IN (0, 1) AND doc_id IS NOT NULL")
         .groupBy("doc_id")
@@ -267,7 +269,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Field
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
-    texts = docs.select("doc_id", "text").join(marks, "doc_id").select("quality", "text")
+    # One text for each id, however many rows share it.
+    texts = docs.select("doc_id", "text").join(marks, "doc_id").groupBy("doc_id", "quality")
+    texts = texts.agg(F.min("text").alias("text")).select("quality", "text")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,9 +288,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Field
     rows.sort(key=lambda r: (r["quality"], bytes(r["lines"])))
     lines = [
         np.frombuffer(r["lines"], dtype=np.float32).reshape(-1, len(FEATURES)).astype(float)
-        for r in rows[: 2 * sample]
+        for r in rows
     ]
-    return fit_field(lines, [r["quality"] for r in rows[: 2 * sample]])
+    return fit_field(lines, [r["quality"] for r in rows])
 
 
 def content_share(m: Measured, field: Field) -> np.ndarray:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.llm.frames import crc_of_id, stored
+from ledgerline.llm.frames import crc_of_id, small_batches, stored
 from ledgerline.llm.text import SPACED, TextBlock, blocks, window_hashes
 
 FOLDS = 5
@@ -36,7 +36,7 @@ MIN_SHARE, MIN_TEXTS, MIN_LOG_ODDS = 0.01, 4, 3.0
 LEXICON_TERMS = 500
 # Letters a term needs for one and for two edits.
 ONE_EDIT, TWO_EDITS = 5, 9
-# Before any text shows it, a misspelling is believed like one toxic text out of two.
+# Texts a misspelling counts as seen in before training shows any, toxic and clean ones.
 PRIOR = (1.0, 0.3)
 WINDOW = 6
 CUES = 2_000
@@ -235,7 +235,9 @@ def _sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
                     ["label", "text", "low"],
                 )
 
-    texts = docs.select("doc_id", "text").join(marks, "doc_id").select("label", "text")
+    # One text for each id, however many rows share it.
+    texts = docs.select("doc_id", "text").join(marks, "doc_id").groupBy("doc_id", "label")
+    texts = texts.agg(F.min("text").alias("text")).select("label", "text")
     texts = texts.mapInArrow(hashed, "label int, text string, low long")
     return stored(
         texts.groupBy("low", "label").agg(F.min("text").alias("text")).drop("low"), "labelled"
@@ -272,6 +274,7 @@ def _words(text: str) -> list[str]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_TEXTS) -> Model:
+    small_batches(docs)
     sample = _sample(docs, labels, limit)
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
