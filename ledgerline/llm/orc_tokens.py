@@ -30,8 +30,10 @@ END_ID = 1
 FILE_ROWS = 20_000
 STRIPE_BYTES = 8_000_000
 ROWS_PER_INDEX = 1_000
-# Pieces of text whose ids a worker remembers, twice: those of late, and those before them.
-REMEMBERED = 300_000
+# Pieces of text whose ids a worker remembers, some 40 bytes each; beyond that it starts over.
+REMEMBERED = 1_000_000
+# Bytes of text encoded at once; the more, the fewer look-ups of the same pieces.
+ENCODED_BYTES = 2_000_000
 # Words put into one call of the tokenizer.
 AT_ONCE = 50
 
@@ -63,28 +65,50 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[int, bytes] = {}
-        self.before: dict[int, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        # Hashes of pieces in order, and for each where its ids lie in the pool.
+        self.names = np.empty(0, dtype=np.uint64)
+        self.origin = np.empty(0, dtype=np.int64)
+        self.size = np.empty(0, dtype=np.int32)
+        self.pool, self.used = np.empty(1 << 16, dtype="<u4"), 0
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4") for e in encoded]
 
-    def _learn(self, fresh: list[tuple[int, str]]) -> None:
-        known = self.known
+    def _learn(self, fresh: list[str]) -> list[np.ndarray]:
+        """Ids of pieces, in their order."""
+        out: list = [None] * len(fresh)
         words, others = [], []
-        for name, text in fresh:
+        for k, text in enumerate(fresh):
             alone = text.isalpha() and text.lower().isalpha()
-            (words if alone else others).append((name, text))
+            (words if alone else others).append(k)
         calls = [words[k : k + AT_ONCE] for k in range(0, len(words), AT_ONCE)]
-        for call, ids in zip(calls, self._encode([" ".join(t for _, t in c) for c in calls])):
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            begin, data = 0, ids.tobytes()
-            for (name, _), stop in zip(call, stops.tolist()):
-                known[name] = data[4 * begin : 4 * stop]
+        for call, ids in zip(calls, self._encode([" ".join([fresh[k] for k in c]) for c in calls])):
+            begin = 0
+            for k, stop in zip(call, (np.flatnonzero(self.ends[ids]) + 1).tolist()):
+                out[k] = ids[begin:stop]
                 begin = stop
-        for (name, _), ids in zip(others, self._encode([t for _, t in others])):
-            known[name] = ids.tobytes()
+        for k, ids in zip(others, self._encode([fresh[k] for k in others])):
+            out[k] = ids
+        return out
+
+    def _remember(self, names: np.ndarray, places: np.ndarray, lists: list[np.ndarray]) -> None:
+        """Take up pieces; `places` tells where they belong among those known."""
+        size = np.fromiter(map(len, lists), dtype=np.int32, count=len(lists))
+        total = int(size.sum())
+        if self.used + total > len(self.pool):
+            wider = np.empty(2 * (self.used + total), dtype="<u4")
+            wider[: self.used] = self.pool[: self.used]
+            self.pool = wider
+        self.pool[self.used : self.used + total] = np.concatenate(lists)
+        origin = self.used + np.cumsum(size, dtype=np.int64) - size
+        self.used += total
+        self.names = np.insert(self.names, places, names)
+        self.origin = np.insert(self.origin, places, origin)
+        self.size = np.insert(self.size, places, size)
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text, without an end id."""
@@ -95,8 +119,8 @@ class Encoder:
             for k in np.flatnonzero(special):
                 out[k] = self._encode([texts[int(k)].as_py()])[0]
             return out
-        if len(self.known) > REMEMBERED:
-            self.known, self.before = {}, self.known
+        if len(self.names) > REMEMBERED:
+            self._forget()
         block = TextBlock(texts, lower=True)
         at = _CLASS[block.data]
         outer = block.offsets[1:-1][block.offsets[1:-1] < len(at)]
@@ -108,23 +132,16 @@ class Encoder:
         ends = np.flatnonzero((at != _SPACE) & ((after == _SPACE) | _BEGINS[4 * at + after])) + 1
         pieces = Words(block, starts, ends)
         names, first, unit = np.unique(pieces.hashes(), return_index=True, return_inverse=True)
-        known, older, fresh = self.known, self.before, []
-        text, listed = block.data.tobytes(), names.tolist()
-        lists = list(map(known.get, listed))
-        missing = [k for k, ids in enumerate(lists) if ids is None]
-        for k in missing:
-            name = listed[k]
-            if name in older:
-                known[name] = older[name]
-            else:
-                j = first[k]
-                fresh.append((name, text[starts[j] : ends[j]].decode()))
-        self._learn(fresh)
-        for k in missing:
-            lists[k] = known[listed[k]]
-        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)) // 4
-        flat = np.frombuffer(b"".join(lists), dtype="<u4")
-        origin = np.cumsum(sizes) - sizes
+        places = np.searchsorted(self.names, names)
+        known = np.zeros(len(names), dtype=bool)
+        inside = places < len(self.names)
+        known[inside] = self.names[places[inside]] == names[inside]
+        if not known.all():
+            text, of = block.data.tobytes(), first[~known]
+            pieces_ = [text[a:b].decode() for a, b in zip(starts[of].tolist(), ends[of].tolist())]
+            self._remember(names[~known], places[~known], self._learn(pieces_))
+            places = np.searchsorted(self.names, names)
+        sizes, origin, flat = self.size[places].astype(np.int64), self.origin[places], self.pool
         size = sizes[unit]
         stop = np.cumsum(size)
         ids = flat[np.repeat(origin[unit] - (stop - size), size) + np.arange(int(size.sum()))]
@@ -149,7 +166,7 @@ def write(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id: int
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for batch in batches:
-            for part in blocks(batch, "text"):
+            for part in blocks(batch, "text", ENCODED_BYTES):
                 lists = [np.append(ids, end) for ids in enc.ids(part.column("text"))]
                 offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
                 flat = np.concatenate(lists).astype(np.int32)

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text handled at once. A longer text is a block of its own, and never cut.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _U64 = np.uint64
@@ -139,3 +139,5 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
     cuts = [0, *(np.flatnonzero(np.diff(label)) + 1), batch.num_rows]
     for low, high in zip(cuts, cuts[1:]):
         yield batch.slice(low, high - low)
+    # A worker lives on between tasks; what it does not need goes back to the machine.
+    pa.default_memory_pool().release_unused()

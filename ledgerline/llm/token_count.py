@@ -23,6 +23,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerline.llm.frames import small_batches
 from ledgerline.llm.text import blocks
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -125,5 +126,6 @@ def counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                     ["doc_id", "n_chars", "n_tokens"],
                 )
 
+    small_batches(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(counted, "doc_id long, n_chars long, n_tokens long")
