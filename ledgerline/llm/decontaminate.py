@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.llm.frames import row_key, stored
+from ledgerline.llm.frames import row_key, small_batches, stored, whole_rows
 from ledgerline.llm.text import ALNUM, TextBlock, blocks
 
 PHRASE_WORDS = 10
 # Phrases looked up in one pass over the index: what a pass ships to each task is bounded by this.
 PASS_PHRASES = 100_000
 # Bytes of text in a shard, so that one shard's lists fit a task; a longer text has its own shard.
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 # Start positions tested at once within a shard.
 TESTED_AT_ONCE = 2_000_000
 
@@ -81,6 +81,7 @@ def index(docs: DataFrame) -> DataFrame:
                 number += 1
 
     names = [c.strip().split()[0] for c in INDEX.split(",")]
+    small_batches(docs)
     key = row_key("doc_id", "text")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("k"), "text")
     rows = rows.select("doc_id", "k.a", "k.b", "text").mapInArrow(postings, INDEX)
@@ -274,9 +275,6 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without a match, all columns as they came."""
     dirty = report(docs, items).where("contaminated").select("key_a", "key_b").distinct()
-    key = row_key("doc_id", "text")
-    if {"_key", "key_a", "key_b"} & set(docs.columns):
-        raise ValueError("documents may not have columns _key, key_a, key_b")
-    keyed = docs.withColumn("_key", key)
-    match = (keyed["_key"]["a"] == dirty["key_a"]) & (keyed["_key"]["b"] == dirty["key_b"])
-    return keyed.join(dirty, match, "left_anti").drop("_key")
+    keyed = whole_rows(docs, row_key("doc_id", "text").alias("k"))
+    keyed = keyed.select("row", F.col("k.a").alias("key_a"), F.col("k.b").alias("key_b"))
+    return keyed.join(dirty, ["key_a", "key_b"], "left_anti").select("row.*")
