@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ FOLDS, HELD_OUT = 7, 2
 START, END = 0xFE, 0xFF
 # The end of a text as a word.
 END_WORD = -1
-PART_ROWS = 2_000_000
+PART_ROWS = 1_000_000
 LN2 = math.log(2)
 
 
@@ -283,8 +284,8 @@ def scores(docs: DataFrame) -> DataFrame:
     n, v = word_counts.agg(F.sum("n"), F.count("*")).first()
     n = n or 0
     words = word_counts.select("key", F.log10(F.col("n") + 1).alias("value"))
-    sizes = (probabilities.count(), v)
-    passes = max(-(-s // PART_ROWS) for s in (*sizes, 1))
+    gram_parts, word_parts = (max(-(-s // PART_ROWS), 1) for s in (probabilities.count(), v))
+    passes = max(gram_parts, word_parts)
 
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -296,15 +297,20 @@ def scores(docs: DataFrame) -> DataFrame:
 
     def scored(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            gram_table, word_table = (Table(*t) for t in shared.value)
-            end = word_table.get(np.array([END_WORD]))[0]
+            # The larger table takes more passes; the other one is then left out.
+            gram_table, word_table = (Table(*t) if t else None for t in shared.value)
+            end = word_table.get(np.array([END_WORD]))[0] if word_table else 0.0
             for batch in batches:
                 for part in blocks(batch, "text"):
                     block = TextBlock(part.column("text"), lower=True)
-                    packed, first = grams(block)
-                    score = np.add.reduceat(gram_table.get(packed), first)
+                    score = np.zeros(block.n)
+                    if gram_table:
+                        packed, first = grams(block)
+                        score = np.add.reduceat(gram_table.get(packed), first)
                     found = block.words(SPACED)
-                    value = word_table.get(found.hashes().view(np.int64))
+                    value = np.zeros(len(found.doc))
+                    if word_table:
+                        value = word_table.get(found.hashes().view(np.int64))
                     add = lambda x: np.bincount(found.doc, weights=x, minlength=block.n)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -324,7 +330,7 @@ def scores(docs: DataFrame) -> DataFrame:
         " words double, score double"
     )
     done = []
-    for part in zip(_parts(probabilities, passes), _parts(words, passes)):
+    for part in zip_longest(_parts(probabilities, gram_parts), _parts(words, word_parts)):
         shared = spark.sparkContext.broadcast(part)  # about PART_ROWS entries each
         done.append(stored(keyed.mapInArrow(scored(shared), schema), "scored"))
     rows = done[0]
