@@ -57,7 +57,7 @@ def op9_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.report(documents(spark, sf_dir))
+    return secrets.report(documents(spark, sf_dir)).drop("n_owners", "n_repositories")
 
 
 def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:

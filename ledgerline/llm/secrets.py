@@ -1,9 +1,10 @@
 """Secret scan with corpus-wide ownership of each candidate, in DataFrame operations only.
 
 Candidates are what the patterns find, and long runs of mixed letters and digits. A candidate's value is
-counted by the distinct owners, and repositories of owners, whose texts hold it: what WIDE or more
-owners hold is a copied example, and a random-looking value that a single owner holds looks live. Live
-values add spans of kind `live` to those of the patterns; no span of a pattern is taken away.
+counted by the distinct owners, and repositories of owners, whose texts hold it: what WIDE or more of
+either hold is a copied example, and a random-looking value that a single repository of a single owner
+holds looks live. Live values add spans of kind `live` to those of the patterns; no span of a pattern
+is taken away.
 
 Places come from the pieces between matches: a match begins where the pieces and matches before it
 end. They count code points, ends are exclusive, and a pattern's span is its whole match.
@@ -35,7 +36,8 @@ SHORTEST = {ASSIGN: 12, ACCESS: 18, HEX: 16, MIXED: 20}
 KINDS = (ASSIGN, ACCESS, HEX, MIXED, LIVE)
 BASE = KINDS[:3]
 
-# Owners from which on a value is a copied example, and distinct characters of a random-looking one.
+# Owners or repositories from which on a value is a copied example, and distinct characters of a
+# random-looking one.
 WIDE = 3
 DIVERSE = 8
 
@@ -119,14 +121,17 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def judged(found: DataFrame) -> DataFrame:
-    """Candidates with their ownership, and whether they look live or are copied examples."""
+    """Candidates with their ownership, and whether they look live or are copied examples.
+
+    Repositories are counted over all owners, so there are at least as many as owners.
+    """
     random = (
         F.col("value").rlike("[0-9]")
         & F.col("value").rlike("[A-Za-z]")
         & (F.size(F.array_distinct(F.split("value", ""))) >= DIVERSE)
     )
     return found.join(ownership(found), "value").withColumns(
-        {"live": random & (F.col("n_owners") == 1), "example": F.col("n_owners") >= WIDE}
+        {"live": random & (F.col("n_repositories") == 1), "example": F.col("n_repositories") >= WIDE}
     )
 
 
@@ -142,7 +147,10 @@ def _listed(spans: Column) -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per row the counts of the patterns, the digest of their spans, and all spans."""
+    """Per row the counts of the patterns, the digest of their spans, all spans, and the widest value.
+
+    `n_owners` and `n_repositories` are the largest counts of any value in the row.
+    """
     found = judged(stored(candidates(docs), "candidates"))
 
     def span(kind: int | Column, start: str) -> Column:
@@ -160,6 +168,8 @@ def report(docs: DataFrame) -> DataFrame:
         F.collect_list(base).alias("base"),
         F.collect_list(live).alias("live"),
         count(F.col("example"))("n_example"),
+        F.max("n_owners").alias("n_owners"),
+        F.max("n_repositories").alias("n_repositories"),
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_key())
     out = rows.join(of_row, ["a", "b"], "left")
@@ -172,5 +182,5 @@ def report(docs: DataFrame) -> DataFrame:
         F.sha2(listed, 256).alias("base_sha256"),
         F.coalesce(_listed(F.concat("base", "live")), nothing).alias("spans"),
         F.coalesce(F.size(F.array_distinct("live")).cast("long"), zero).alias("n_live"),
-        F.coalesce("n_example", zero).alias("n_example"),
+        *[F.coalesce(c, zero).alias(c) for c in ("n_example", "n_owners", "n_repositories")],
     )

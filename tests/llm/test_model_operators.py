@@ -12,7 +12,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import EDGES, SPACED, counted, docs, edges, labels, leaks, lower, nothing
+from helpers import DOCS, EDGES, SPACED, counted, docs, edges, labels, leaks, lower, nothing
 from tokenizers import Tokenizer, models
 
 import corpus_pipeline
@@ -326,6 +326,19 @@ def test_secrets_are_found_and_owned(spark):
     assert secrets.report(nothing(spark)).count() == 0
 
 
+def test_a_value_in_many_repositories_of_one_owner_is_no_live_secret(spark):
+    wide, two, one, both = (hashlib.sha1(k.encode()).hexdigest() for k in ("wide", "two", "one", "both"))
+    rows = [(k, f"x {wide} y", lang, "s", 0) for k, lang in enumerate(["en", "de", "fr", None, "en"])]
+    rows += [(10, two, "en", "s", 0), (11, two, "de", "s", 0), (12, one, "en", "s", 0), (13, one, "en", "s", 0)]
+    rows += [(20 + k, both, "en de".split()[k % 2], "tu"[k // 2], 0) for k in range(4)]
+    columns = ("doc_id", "n_hex", "n_live", "n_example", "n_owners", "n_repositories")
+    got = counted(secrets.report(spark.createDataFrame(rows, DOCS)), *columns)
+    # A value is a match of two patterns, hex and mixed.
+    assert got == sorted(
+        [(k, 1, 0, 2, 1, 4) for k in range(5)] + [(k, 1, 0, 0, 1, 2) for k in (10, 11)]
+        + [(k, 1, 1, 0, 1, 1) for k in (12, 13)] + [(k, 1, 0, 2, 2, 4) for k in range(20, 24)], key=repr)
+
+
 def test_token_counts_follow_the_librarys_unigram_model(spark):
     vocabulary = token_count.pieces()
     library = Tokenizer(models.Unigram([("<unk>", 0.0), *vocabulary.items()], unk_id=0))
