@@ -1,6 +1,7 @@
 """Toxicity by a learned lexicon, misspellings included, and the context each hit stands in.
 
-Training finds the terms that mark toxic texts. They form a trie, and the Levenshtein automata of all
+Training finds the terms that mark toxic texts: all whose odds are significantly above those of the
+sample, however rare they are or often quoted. They form a trie, and the Levenshtein automata of all
 terms run over it together: a state is a set of (trie node, edits spent), made deterministic as words
 need it, so a word costs one table look-up per character, and words seen before cost one in all. Every
 spelling has evidence of its own from training, which keeps ordinary words that happen to be close to a
@@ -31,9 +32,9 @@ from ledgerline.llm.text import SPACED, TextBlock, blocks, window_hashes
 
 FOLDS = 5
 SAMPLE_TEXTS = 30_000
-# A term: in at least this share of the toxic texts, and toxic with these odds against the rest.
-MIN_SHARE, MIN_TEXTS, MIN_LOG_ODDS = 0.01, 4, 3.0
-LEXICON_TERMS = 500
+# A term: in so many toxic texts, and more often toxic than chance has it once in 10,000 times, by the
+# log-likelihood ratio of its texts under its own odds against those of the sample.
+MIN_TEXTS, SIGNIFICANT = 4, 15.13
 # Letters a term needs for one and for two edits.
 ONE_EDIT, TWO_EDITS = 5, 9
 # Texts a misspelling counts as seen in before training shows any, toxic and clean ones.
@@ -44,7 +45,11 @@ QUOTES = "\"“”„«»‘’`"
 STRIPPED = ".,;:!?()[]{}<>…'" + QUOTES
 # Words a worker remembers; beyond that it starts over.
 REMEMBERED = 500_000
-FEATURES = 5
+# Trie nodes that the states of a worker's automaton hold; beyond that it starts over.
+REMEMBERED_NODES = 1_000_000
+# Evidence of a text's distinct hits together counts up to here.
+MOST_EVIDENCE = 24.0
+FEATURES = 7
 
 
 def allowed_edits(term: str) -> int:
@@ -75,6 +80,7 @@ class LexiconAutomaton:
         self.start = self._closed({0: 0})
         self.moves: dict = {}
         self.accepts: dict = {}
+        self.held = 0
 
     def _closed(self, reached: dict[int, int]) -> frozenset:
         """With the nodes that leaving out letters of a term reaches."""
@@ -102,12 +108,17 @@ class LexiconAutomaton:
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term within its allowed edits, and the edits; ties by the term."""
+        if self.held > REMEMBERED_NODES:
+            self.moves.clear()
+            self.accepts.clear()
+            self.held = 0
         state = self.start
         for c in word:
             move = (state, c if c in self.alphabet else "")
             following = self.moves.get(move)
             if following is None:
                 following = self.moves[move] = self._step(state, move[1])
+                self.held += len(following)
             state = following
             if not state:
                 return None
@@ -124,12 +135,14 @@ class LexiconAutomaton:
 
 @dataclass
 class Model:
-    """What training found. Everything in it is bounded by the parameters above."""
+    """What training found. Everything in it is bounded by the sample."""
 
     terms: dict[str, float] = field(default_factory=dict)
     spellings: dict[str, float] = field(default_factory=dict)
     # Evidence of all misspellings of a term together, for those that training has not seen.
     misspelt: dict[str, float] = field(default_factory=dict)
+    # Evidence of a misspelling of a term that training has only seen spelt right.
+    unseen: float = 0.0
     cues: dict[str, float] = field(default_factory=dict)
     weights: np.ndarray | None = None
     known: dict[str, float | None] = field(default_factory=dict)
@@ -152,7 +165,7 @@ class Model:
         elif word in self.spellings:
             value = self.spellings[word]
         else:
-            value = self.misspelt.get(found[0], _log_odds(0, 0, *PRIOR)) / max(found[1], 1)
+            value = self.misspelt.get(found[0], self.unseen) / max(found[1], 1)
         if len(known) >= REMEMBERED:
             known.clear()
         known[token] = value
@@ -170,20 +183,24 @@ class Model:
         return [(k, evidence(w)) for k, w in enumerate(tokens) if w in found]
 
     def features(self, text: str | None) -> np.ndarray:
-        """Evidence outside and inside quotation marks, number of hits of each, best context."""
+        """Evidence outside and inside quotation marks, number of hits of each, best context; and the
+        strongest evidence of either, which many weak hits together do not reach.
+        """
         x = np.zeros(FEATURES)
         tokens = (text or "").lower().split()
         best: dict[tuple[bool, str], float] = {}
-        context = None
-        for k, value in self.hits(tokens):
+        hits = self.hits(tokens)
+        for k, value in hits:
             quoted = is_quoted(tokens, k)
             best[quoted, tokens[k]] = value
             if value > 0:
                 x[3 if quoted else 2] += 1
-                around = sum(self.cues.get(w, 0.0) for w in window(tokens, k))
-                context = around if context is None else max(context, around)
+        contexts = (sum(self.cues.get(w, 0.0) for w in window(tokens, k)) for k in strong(hits))
+        context = max(contexts, default=None)
         for quoted in (False, True):
-            x[int(quoted)] = min(sum(max(v, 0) for (q, _), v in best.items() if q == quoted), 8.0)
+            own = [max(v, 0) for (q, _), v in best.items() if q == quoted]
+            x[int(quoted)] = min(sum(own), MOST_EVIDENCE)
+            x[5 + quoted] = max(own, default=0.0)
         x[2:4] = np.log1p(x[2:4])
         x[4] = np.clip(context or 0.0, -4, 4)
         return x
@@ -195,6 +212,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
+def strong(hits: list[tuple[int, float]]) -> list[int]:
+    """Places of hits with half the evidence of the strongest or more; weak ones are everywhere."""
+    least = max((v for _, v in hits), default=0.0) / 2
+    return [k for k, v in hits if v >= least > 0]
+
+
 def window(tokens: list[str], k: int) -> list[str]:
     return [
         w.strip(STRIPPED) for w in (*tokens[max(k - WINDOW, 0) : k], *tokens[k + 1 : k + 1 + WINDOW])
@@ -211,6 +234,21 @@ def _log_odds(toxic: float, clean: float, a: float = 0.5, b: float = 0.5) -> flo
     return math.log((toxic + a) / (clean + b))
 
 
+def _ratio(toxic: float, clean: float, base: float) -> float:
+    """Log-likelihood ratio of texts under odds of their own against the sample's log odds."""
+    share = 1 / (1 + math.exp(-base))
+    expected = ((toxic, share), (clean, 1 - share))
+    return 2 * sum(n * math.log(n / ((toxic + clean) * p)) for n, p in expected if n)
+
+
+def _misspelling(toxic: int, clean: int, base: float) -> float:
+    """Evidence of spellings that are no terms: ordinary words are close to terms too, so it counts
+    against the sample's odds only if most of their texts are toxic, or significantly many."""
+    odds = _log_odds(toxic, clean, *PRIOR)
+    significant = toxic >= MIN_TEXTS and odds > base and _ratio(toxic, clean, base) >= SIGNIFICANT
+    return odds - base if odds > 0 or significant else min(odds, 0.0)
+
+
 def _sample(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
     """label, text of distinct labelled training texts."""
     marks = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id")
@@ -282,16 +320,13 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_TEXTS) -> Model:
         return Model()
     base = _log_odds(toxic, clean)
     words = stored(_counted(sample, _words), "words")
-    least = max(MIN_TEXTS, MIN_SHARE * toxic)
-    odds = F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5)) - F.lit(base)
-    top = (
-        words.withColumn("odds", odds)
-        .where((F.col("toxic") >= least) & (F.col("odds") >= MIN_LOG_ODDS))
-        .orderBy(F.desc(F.col("odds") * F.col("toxic")), "token")
-        .limit(LEXICON_TERMS)
-        .collect()
-    )
-    model = Model(terms={r["token"]: r["odds"] + base for r in top})
+    # Weights are odds against those of the sample, so a term counts though clean texts quote it more.
+    # Words in MIN_TEXTS toxic texts of a bounded sample.
+    model = Model(unseen=_misspelling(0, 0, base))
+    for r in words.where(F.col("toxic") >= MIN_TEXTS).orderBy("token").toLocalIterator():
+        odds = _log_odds(r["toxic"], r["clean"]) - base
+        if odds > 0 and _ratio(r["toxic"], r["clean"], base) >= SIGNIFICANT:
+            model.terms[r["token"]] = odds
     if not model.terms:
         model.weights = np.append(np.zeros(FEATURES), base)
         return model
@@ -302,21 +337,21 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_TEXTS) -> Model:
             close = [automaton.match(w) is not None for w in batch.column("token").to_pylist()]
             yield batch.filter(pa.array(close, pa.bool_()))
 
-    # Spellings within the allowed edits of a bounded lexicon, in a bounded sample.
+    # Spellings within the allowed edits of the lexicon, in a bounded sample.
     automaton, pooled = LexiconAutomaton(sorted(model.terms)), {}
     for r in words.mapInArrow(near, words.schema).collect():
-        prior = (0.5, 0.5) if r["token"] in model.terms else PRIOR
-        model.spellings[r["token"]] = _log_odds(r["toxic"], r["clean"], *prior)
+        own = model.terms.get(r["token"])
+        model.spellings[r["token"]] = _misspelling(r["toxic"], r["clean"], base) if own is None else own
         term, edits = automaton.match(r["token"])
         if edits:
             seen = pooled.setdefault(term, [0, 0])
             seen[0] += r["toxic"]
             seen[1] += r["clean"]
-    model.misspelt = {t: _log_odds(a, b, *PRIOR) for t, (a, b) in pooled.items()}
+    model.misspelt = {t: _misspelling(a, b, base) for t, (a, b) in pooled.items()}
 
     def around(text: str) -> list[str]:
         tokens = text.lower().split()
-        cues = {w for k, v in model.hits(tokens) if v > 0 for w in window(tokens, k)}
+        cues = {w for k in strong(model.hits(tokens)) for w in window(tokens, k)}
         return list(cues - {""})
 
     common = _counted(sample, around).where("toxic + clean >= 5")

@@ -246,6 +246,43 @@ def test_toxicity_learns_terms_spellings_and_quotation(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def learnt(spark, rows, marks):
+    """The model of labelled texts, and recall and false alarms on those held out."""
+    frame = docs(spark, rows)
+    model = toxicity.fit(frame, labels(spark, [(k, 1, y) for k, y in marks.items()]))
+    got = [(marks[r["doc_id"]], r["predicted"]) for r in toxicity.scores(frame, model).where("held_out").collect()]
+    return model, *(np.mean([p for y, p in got if y == of]) for of in (1, 0))
+
+
+def test_toxicity_learns_a_long_tail_of_rare_terms(spark):
+    rng = random.Random(7)
+    words = [f"{a}{b}{c}" for a, b, c in product("bdfg", "aeiou", "lmnr")]
+    plain = lambda n: " ".join(rng.choices(words, k=n))
+    # Every term is in 12 of 1,440 toxic texts, under 1%.
+    terms = ["".join(rng.choices("bcdfghjkpqstvwxz", k=8)) for _ in range(120)]
+    rows, marks = [], {}
+    for k in range(4500):
+        marks[k] = int(k < 1440)
+        rows.append((k, f"{plain(9)} {terms[k % 120]} {plain(9)}" if marks[k] else plain(19)))
+    model, recall, false = learnt(spark, rows, marks)
+    assert len(set(terms) & set(model.terms)) > 110 and set(model.terms) <= set(terms)
+    assert recall > 0.8 and false < 0.01
+
+
+def test_toxicity_keeps_terms_that_clean_texts_quote_more(spark):
+    rng = random.Random(8)
+    words = [f"{a}{b}{c}" for a, b, c in product("bdfg", "aeiou", "lmnr")] + ["you", "they", "wrote"]
+    plain = lambda n: " ".join(rng.choices(words, k=n))
+    rows, marks = [], {}
+    for k in range(2400):
+        marks[k] = int(k % 20 == 0)
+        middle = "you scoundrel" if marks[k] else 'they wrote "scoundrel"' if k % 12 == 1 else plain(2)
+        rows.append((k, f"{plain(9)} {middle} {plain(9)}"))
+    model, recall, false = learnt(spark, rows, marks)
+    assert "scoundrel" in model.terms
+    assert recall > 0.9 and false < 0.02
+
+
 def test_toxicity_without_labels_or_rows(spark):
     frame = edges(spark)
     none = toxicity.fit(frame, labels(spark))
