@@ -120,7 +120,7 @@ MATCH = (
 
 
 def _lookup(ids, doc_of, phrase_terms, offsets, anchors, lists, slop):
-    """Starts of matches in one shard, as (phrase, start) arrays.
+    """Matches in one shard, as (phrase, document, start) arrays; a start may lie before the document.
 
     ids: term number at each position, or -1; phrase_terms, offsets: per phrase its terms and their
     places, rarest first; lists: positions by term number.
@@ -135,19 +135,17 @@ def _lookup(ids, doc_of, phrase_terms, offsets, anchors, lists, slop):
         group = alive[begin:end]
         phrase = np.repeat(group, sizes[group])
         start = np.concatenate([lists[t] for t in anchors[group]]) - offsets[phrase, 0]
-        length = (phrase_terms[phrase] >= 0).sum(axis=1)
-        ok = (start >= 0) & (start + length <= len(ids))
-        phrase, start, length = phrase[ok], start[ok], length[ok]
-        ok = doc_of[start] == doc_of[start + length - 1]
-        phrase, start = phrase[ok], start[ok]
+        # The rarest term is in the document; the frame of unmoved terms may reach beyond it.
+        doc = doc_of[start + offsets[phrase, 0]]
         for place in range(1, width):
             wanted, at = phrase_terms[phrase, place], start + offsets[phrase, place]
             near = wanted < 0
             for shift in range(-slop, slop + 1):
                 moved = np.clip(at + shift, 0, len(ids) - 1)
-                near = near | ((ids[moved] == wanted) & (doc_of[moved] == doc_of[start]))
-            phrase, start = phrase[near], start[near]
-        yield phrase, start
+                inside = moved == at + shift
+                near = near | (inside & (ids[moved] == wanted) & (doc_of[moved] == doc))
+            phrase, doc, start = phrase[near], doc[near], start[near]
+        yield phrase, doc, start
         begin = end
 
 
@@ -214,21 +212,23 @@ def _pass(postings: DataFrame, rows: list, slop: int) -> DataFrame:
             k = int(np.searchsorted(vocabulary, term))
             lists[k], ids[at] = at, k
         shard = of["shard"][0].as_py()
-        found = [(np.empty(0, np.int64),) * 2]
+        found = [(np.empty(0, np.int64),) * 3]
         if len(phrase_terms) and len(ids):
             anchors = phrase_terms[:, 0]
             found += list(_lookup(ids, doc_of, phrase_terms, offsets, anchors, lists, slop))
-        phrase = np.concatenate([p for p, _ in found])
-        start = np.concatenate([s for _, s in found])
+        phrase, doc, start = (np.concatenate(x) for x in zip(*found))
+        length = (phrase_terms[phrase] >= 0).sum(axis=1)
+        stop = np.minimum(start + length, (first + counts)[doc])
+        start = np.maximum(start, first[doc])
         spans: dict[tuple[int, str], list] = {}
-        for p, s in sorted(zip(phrase.tolist(), start.tolist()), key=lambda x: x[1]):
-            length = int((phrase_terms[p] >= 0).sum())
+        each = zip(phrase.tolist(), doc.tolist(), start.tolist(), stop.tolist())
+        for p, d, s, e in sorted(each, key=lambda x: x[2]):
             for item in items[p]:
-                own = spans.setdefault((int(doc_of[s]), item), [])
+                own = spans.setdefault((d, item), [])
                 if own and s <= own[-1][1]:
-                    own[-1][1] = max(own[-1][1], s + length)
+                    own[-1][1] = max(own[-1][1], e)
                 else:
-                    own.append([s, s + length])
+                    own.append([s, e])
         out = [
             (shard, doc, item, a - int(first[doc]), b - int(first[doc]))
             for (doc, item), own in spans.items()

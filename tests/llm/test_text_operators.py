@@ -122,6 +122,19 @@ def test_proximity_matches_allow_moved_words(spark):
     assert len(of(0)) == 1 and len(of(1)) == 2
 
 
+def test_proximity_at_the_edges_of_documents(spark):
+    items = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
+    texts = ["x beta alpha y", "beta alpha", "beta alpha y", "x beta alpha", "x beta", "alpha", "beta y", "y alpha"]
+    postings = decontaminate.index(docs(spark, list(enumerate(texts))))
+    names = postings.where("term IS NULL").selectExpr("shard", "posexplode(doc_ids) AS (doc_no, doc_id)")
+    found = decontaminate.matches(postings, decontaminate.phrases(items), 2).join(names, ["shard", "doc_no"])
+    got = {r["doc_id"]: (r["start"], r["stop"]) for r in found.collect()}
+    # Terms of neighbouring documents do not meet, and places stay in the document.
+    assert set(got) == {0, 1, 2, 3}
+    assert all(0 <= a < b <= len(texts[k].split()) for k, (a, b) in got.items())
+    assert decontaminate.matches(postings, decontaminate.phrases(items)).count() == 0
+
+
 def test_decontamination_of_nothing(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.report(nothing(spark), items).count() == 0
