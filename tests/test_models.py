@@ -2,7 +2,7 @@
 
 from decimal import Decimal
 
-from conftest import customer, day, invoice, one, rows, subscription
+from billing import customer, day, invoice, one, rows, subscription
 from pyspark.sql import functions as F
 
 

@@ -3,7 +3,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import customer, invoice, rows, subscription
+from billing import customer, invoice, rows, subscription
 from pyspark.sql import functions as F
 
 from ledgerline.errors import IngestError, MartContractError, RawValidationError

@@ -7,7 +7,7 @@ import random
 
 import duckdb
 import pytest
-from conftest import CUSTOMERS, INVOICES, SUBSCRIPTIONS, day, money
+from billing import CUSTOMERS, INVOICES, SUBSCRIPTIONS, day, money
 
 from ledgerline.models import Models
 from ledgerline.workload.oracle import with_views

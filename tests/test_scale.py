@@ -4,7 +4,7 @@ The thresholds are lowered so that a local table counts as skewed; the data flow
 """
 
 import pytest
-from conftest import customer, rows, subscription
+from billing import customer, rows, subscription
 from pyspark.sql import functions as F
 
 from ledgerline.models import Models

@@ -1,7 +1,7 @@
 """CSV extracts: by name, verbatim, strictly typed."""
 
 import pytest
-from conftest import rows
+from billing import rows
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
