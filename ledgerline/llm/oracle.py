@@ -119,9 +119,122 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
     coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
 FROM d LEFT JOIN counted USING (rid) LEFT JOIN listed USING (rid)"""
 
+REPEATS = r"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), windows AS MATERIALIZED (
+    SELECT rid, doc_id, k, array_to_string(w[k + 1:k + 50], ' ') AS passage
+    FROM (SELECT *, unnest(range(len(w) - 49)) AS k FROM d WHERE len(w) >= 50)
+), first AS (
+    SELECT passage, min(doc_id) AS owner FROM windows GROUP BY passage
+), gone AS (
+    SELECT rid, list(DISTINCT place) AS places
+    FROM (
+        SELECT rid, unnest(range(k, k + 50)) AS place FROM windows JOIN first USING (passage)
+        WHERE owner < doc_id
+    )
+    GROUP BY rid
+), kept AS (
+    SELECT rid, string_agg(word, ' ' ORDER BY place) AS text
+    FROM (SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS place FROM d)
+    LEFT JOIN gone USING (rid)
+    WHERE places IS NULL OR NOT list_contains(places, place)
+    GROUP BY rid
+)
+SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (rid) LEFT JOIN kept USING (rid)"""
+
+
+def _digest(text: str) -> str:
+    spelled = " || ".join(
+        f"coalesce(strlen({v}::VARCHAR) || ':' || {v}, '-')"
+        for v in ("doc_id", "source", "lang", "n_chars", text)
+    )
+    return f"sha256({spelled})"
+
+
+# Levels of a tree that the statement spells out: groups of up to 16 ** 6 nodes.
+_LEVELS = 6
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Levels of trees over (grp, idx, digest): <name>0 to <name>_LEVELS with the group's size.
+
+    A group of one node is passed on as it is.
+    """
+    ctes = [f"{name}0 AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM ({leaves}))"]
+    for k in range(_LEVELS):
+        ctes.append(
+            f"{name}{k + 1} AS MATERIALIZED (SELECT grp, idx // 16 AS idx,"
+            f" CASE WHEN n = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY idx)) END"
+            f" AS digest, (n + 15) // 16 AS n FROM {name}{k} GROUP BY grp, idx // 16, n)"
+        )
+    return ",\n".join(ctes)
+
+
+def _proof(name: str, leaf: str, idx: str, source: str, group: str) -> str:
+    """Rows of `source` with the siblings of each level (s<k>) and the digest folded so far (f<k>)."""
+    step = f"SELECT *, {leaf} AS f0, {idx} AS i0 FROM {source}"
+    for k in range(_LEVELS):
+        run = (
+            f"(SELECT string_agg(t.digest, '' ORDER BY t.idx) FROM {name}{k} AS t WHERE t.grp = q.{group}"
+            f" AND t.idx // 16 = i{k} // 16 AND t.n > 1 AND t.idx <> i{k})"
+        )
+        whole = (
+            f"(SELECT sha256(string_agg(CASE WHEN t.idx = i{k} THEN f{k} ELSE t.digest END, ''"
+            f" ORDER BY t.idx)) FROM {name}{k} AS t WHERE t.grp = q.{group} AND t.idx // 16 = i{k} // 16"
+            f" AND t.n > 1)"
+        )
+        step = (
+            f"SELECT *, coalesce({run}, '') AS s{k}, coalesce({whole}, f{k}) AS f{k + 1},"
+            f" i{k} // 16 AS i{k + 1} FROM ({step}) AS q"
+        )
+    siblings = " || ".join(f"s{k}" for k in range(_LEVELS))
+    facts = "doc_id, grp, leaf, subroot" if name == "t" else "doc_id, grp, leaf, subroot, siblings AS lower"
+    return f"SELECT {facts}, {siblings} AS siblings, f{_LEVELS} AS folded FROM ({step})"
+
+
+# DuckDB has no crc32: the reflected polynomial, a bit at a time.
+_CRC = (
+    "xor(list_reduce([4294967295::BIGINT] || list_transform(range(strlen(doc_id::VARCHAR)),"
+    " lambda i: ascii((doc_id::VARCHAR)[i + 1])::BIGINT), lambda c, b: list_reduce("
+    "[xor(c, b)] || range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384)"
+    " ELSE x >> 1 END)), 4294967295)"
+)
+
+MERKLE = f"""
+WITH docs AS MATERIALIZED (
+    SELECT doc_id, coalesce('=' || source, '') AS grp, {_digest("text")} AS leaf,
+        CASE WHEN {_CRC} % 5 = 0 THEN {_digest(_LOWER.replace("coalesce(text, '')", "text"))} END AS tampered
+    FROM documents
+), placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM docs
+), {_tree("t", "SELECT grp, idx, leaf AS digest FROM placed")},
+subroots AS MATERIALIZED (
+    SELECT grp, row_number() OVER (ORDER BY grp) - 1 AS idx, digest FROM t{_LEVELS}
+), {_tree("r", "SELECT '' AS grp, idx, digest FROM subroots")},
+leaves AS (
+    SELECT placed.*, s.digest AS subroot FROM placed JOIN subroots AS s USING (grp)
+), below AS MATERIALIZED (
+    {_proof("t", "coalesce(tampered, leaf)", "idx", "leaves", "grp")}
+), tops AS (
+    SELECT below.doc_id, below.leaf, below.subroot, below.siblings, below.folded, s.idx, '' AS grp
+    FROM below JOIN subroots AS s USING (grp)
+), above AS (
+    {_proof("r", "folded", "idx", "tops", "grp")}
+)
+SELECT doc_id, leaf, subroot, r{_LEVELS}.digest AS root, sha256(lower || above.siblings) AS proof_sha256,
+    folded AS folded_root, folded = r{_LEVELS}.digest AS verified
+FROM above, r{_LEVELS}"""
+
 ORACLE_SQL = {
     "op1_jaccard_regions": JACCARD,
     "op3_perspective_rotation": chat.ORACLE_SQL,
     "op6_secret_ownership": SECRETS,
     "op7_positional_index": DECONTAMINATION,
+    "op11_anchored_repeats": REPEATS,
+    "op13_sibling_manifest": MERKLE,
 }

@@ -9,12 +9,15 @@ from ledgerline.llm import (
     context_tree,
     decontaminate,
     jaccard,
+    merkle,
     mixing,
     orc_tokens,
     quality,
+    repeats,
     secrets,
     token_count,
     toxicity,
+    whitening,
 )
 from ledgerline.llm.frames import documents
 from ledgerline.llm.oracle import ORACLE_SQL
@@ -65,6 +68,19 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(documents(spark, sf_dir), items).drop("key_a", "key_b")
 
 
+def op11_anchored_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(documents(spark, sf_dir))
+
+
+def op12_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents(spark, sf_dir)
+    return whitening.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_sibling_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_jaccard_regions": op1_jaccard_regions,
     "op2_context_tree": op2_context_tree,
@@ -76,4 +92,7 @@ QUERIES = {
     "op8_viterbi_counts": op8_viterbi_counts,
     "op9_pivotal_mix": op9_pivotal_mix,
     "op10_line_labels": op10_line_labels,
+    "op11_anchored_repeats": op11_anchored_repeats,
+    "op12_qd_whitening": op12_qd_whitening,
+    "op13_sibling_manifest": op13_sibling_manifest,
 }

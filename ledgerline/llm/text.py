@@ -141,3 +141,12 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
         yield batch.slice(low, high - low)
     # A worker lives on between tasks; what it does not need goes back to the machine.
     pa.default_memory_pool().release_unused()
+
+
+def span_hashes(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A hash of the entries of each range [start, stop), whatever its length."""
+    up, down = _Powers.of(len(hashes))
+    sums = np.zeros(len(hashes) + 1, dtype=_U64)
+    np.cumsum((hashes | _U64(1)) * up[: len(hashes)], out=sums[1:])
+    spans = (sums[stops] - sums[starts]) * down[starts]
+    return mix(spans + (stops - starts).astype(_U64) * _U64(0xD6E8FEB86659FD93))
