@@ -37,6 +37,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one run of an operator, which drops them as soon as it is past them."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, scratch(spark, name)
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Remove tables by name, or all of them."""
+        for path in [f"{self.folder}/{name}" for name in names] or [self.folder]:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def whole_rows(docs: DataFrame, *beside: Column) -> DataFrame:
     """Each row as a struct `row`, beside other columns, whose names then cannot clash with its own."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *beside)

@@ -8,9 +8,10 @@ emit no pairs, however many documents hold an anchor:
 1. In full: an anchor's surroundings are all words that a passage of LENGTH words around it can reach,
    LENGTH - SEED_WORDS to either side. The first document with equal surroundings is their owner, and a
    later document's surroundings are a repeat as a whole.
-2. In part: where a later document's anchor occurs earlier, but not all of its surroundings do, the
-   anchor is extended word by word to every passage around it, in that document and in the owners of
-   other surroundings of the anchor. The first document to hold a passage owns it.
+2. In part, for the owners of surroundings only: a passage around an anchor reaches at least half of
+   LENGTH - SEED_WORDS words to the left or to the right. Where a document shares that much of a side with
+   another one, the anchor is extended word by word to every passage on that side. The first document
+   to hold a passage owns it.
 
 What overlaps is merged into maximal repeats. Rows are one per anchor (some 1 in 21 words) in the first
 step, and one per passage around a partly matching anchor in the second.
@@ -18,7 +19,8 @@ step, and one per passage around a partly matching anchor in the second.
 Defined cases: order is by doc_id. A null id stands outside of the order: its document keeps all words
 and takes none from others. Rows that share an id take nothing from each other. Null and empty texts,
 and texts of fewer than LENGTH words, have no passage. A repeat inside one document is no repeat. Words
-are compared by hashes, two of 64 bits for surroundings and passages each. Empty tables give no rows.
+are compared by two hashes of 64 bits: of the anchor and its surroundings, or of a passage. Empty tables
+give no rows.
 Extra columns are not looked at by `report` and kept as they came by `clean`.
 """
 
@@ -30,21 +32,25 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ledgerline.llm.frames import row_key, small_batches, stored, whole_rows
+from ledgerline.llm.frames import Scratch, small_batches, whole_rows
 from ledgerline.llm.text import SPACED, TextBlock, Words, blocks, mix, span_hashes, window_hashes
-from ledgerline.operators import keyed
 
 LENGTH = 50
 SEED_WORDS = 10
 # Runs of SEED_WORDS words in a passage, and words a passage can reach beyond its anchor.
 SPREAD = LENGTH - SEED_WORDS + 1
 REACH = LENGTH - SEED_WORDS
+HALF = REACH // 2
 
 _OTHER = np.uint64(0x2545F4914F6CDD1D)
 
-ANCHORS = "a long, b long, doc_id long, at int, stop int, anchor long, around_a long, around_b long"
-PASSAGES = "a long, b long, doc_id long, at int, later boolean, passage_a long, passage_b long"
+ANCHORS = (
+    "doc_id long, tie long, place int, at int, stop int,"
+    " anchor long, around long, to_left long, to_right long"
+)
+PASSAGES = "doc_id long, tie long, at int, later boolean, passage_a long, passage_b long"
 
 
 def _twice(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
@@ -66,7 +72,10 @@ def anchors_of(words: Words, hashes: np.ndarray) -> np.ndarray:
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """Every anchor with hashes of itself and of its surroundings, and the words [at, stop) they take."""
+    """Every anchor with hashes of itself, of its surroundings [at, stop), and of half of either side.
+
+    A half that the text is too short for is null. `tie` tells rows of one doc_id apart by their texts.
+    """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,80 +84,106 @@ def anchors(docs: DataFrame) -> DataFrame:
                 hashes = words.hashes()
                 places = anchors_of(words, hashes)
                 doc = words.doc[places]
-                low = np.maximum(places - REACH, words.first[doc])
-                high = np.minimum(places + LENGTH, words.first[doc + 1])
-                seeds = window_hashes(hashes, SEED_WORDS)[places].view(np.int64)
-                around = _twice(hashes, low, high)
+                first, end = words.first[doc], words.first[doc + 1]
+                low, high = np.maximum(places - REACH, first), np.minimum(places + LENGTH, end)
                 # Equal words around another place of the anchor are other surroundings.
-                around[0] = mix(around[0].view(np.uint64) + (places - low).astype(np.uint64)).view(np.int64)
-                first = words.first[doc]
+                around = span_hashes(hashes, low, high) + (places - low).astype(np.uint64)
+                after = places + SEED_WORDS
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(part.column(c).take(pa.array(doc)) for c in ("a", "b", "doc_id")),
-                        pa.array((low - first).astype(np.int32)),
-                        pa.array((high - first).astype(np.int32)),
-                        pa.array(seeds),
-                        *map(pa.array, around),
+                        *(part.column(c).take(pa.array(doc)) for c in ("doc_id", "tie")),
+                        *(pa.array((x - first).astype(np.int32)) for x in (places, low, high)),
+                        pa.array(window_hashes(hashes, SEED_WORDS)[places].view(np.int64)),
+                        pa.array(mix(around).view(np.int64)),
+                        _half(hashes, places - HALF, after, places - HALF >= first),
+                        _half(hashes, places, after + HALF, after + HALF <= end),
                     ],
                     names,
                 )
 
-    names = [c.strip().split()[0] for c in ANCHORS.split(",")]
-    return _keyed_texts(small_batches(docs)).where("doc_id IS NOT NULL").mapInArrow(found, ANCHORS)
+    names = _names(ANCHORS)
+    rows = _tied_texts(small_batches(docs)).where("doc_id IS NOT NULL")
+    return rows.mapInArrow(found, ANCHORS)
 
 
-def _keyed_texts(docs: DataFrame) -> DataFrame:
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        row_key("doc_id", "text").alias("k"),
-        F.col("text").cast("string").alias("text"),
-    )
-    return rows.select("k.a", "k.b", "doc_id", "text")
+def _half(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, fits: np.ndarray) -> pa.Array:
+    values = np.zeros(len(fits), dtype=np.int64)
+    values[fits] = span_hashes(hashes, starts[fits], stops[fits]).view(np.int64)
+    return pa.array(values, mask=~fits)
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
 
+def _tied_texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tie().alias("tie"), text.alias("text"))
 
-def owned(seeds: DataFrame, around: list[str]) -> DataFrame:
-    """Per anchor and surroundings their owner, and how they stand to the anchor's other surroundings.
 
-    `later`: the anchor occurs in an earlier document; `shared`: it has other surroundings as well. The
-    last grouping lays the rows out apart from the join's key, so that a hot one can be split by tasks.
+def _tie() -> Column:
+    return F.xxhash64(F.col("text").isNull(), "text")
+
+
+def firsts(rows: DataFrame, *key: str) -> DataFrame:
+    """The first and the last document of each key.
+
+    The second grouping lays the result out apart from the key, so that in a join with it a hot key can
+    be split between tasks; see `operators.keyed`.
     """
-    owners = stored(seeds.groupBy(*around).agg(F.min("doc_id").alias("owner")), "surroundings")
-    first = keyed(owners, "anchor", F.min("owner").alias("first"), F.count("*").alias("n"))
-    owners = owners.join(first, "anchor").groupBy(*around, F.xxhash64(*around).alias("_spread"))
-    return owners.agg(
-        F.min("owner").alias("owner"),
-        F.min(F.col("first") < F.col("owner")).alias("later"),
-        F.min(F.col("n") > 1).alias("shared"),
-    ).drop("_spread")
-
-
-def spans(docs: DataFrame) -> DataFrame:
-    """Words [at, stop) of documents, by row key (a, b), that an earlier document holds; may overlap."""
-    seeds = stored(anchors(docs), "anchors")
-    around = ["anchor", "around_a", "around_b"]
-    known = stored(
-        seeds.join(owned(seeds, around), around)
-        .withColumn("whole", F.col("owner") < F.col("doc_id"))
-        .where("whole OR shared")
-        .select("a", "b", "doc_id", "at", "stop", "anchor", "later", "whole"),
-        "shared",
+    ends = [F.min("doc_id").alias("first"), F.max("doc_id").alias("last")]
+    return rows.groupBy(*key, F.xxhash64(*key).alias("_spread")).agg(*ends).drop("_spread")
+
+
+def spans(docs: DataFrame, keep: Scratch) -> DataFrame:
+    """Words [at, stop) of documents, by (doc_id, tie), that an earlier document holds; may overlap."""
+    seeds = keep.store(anchors(docs), "anchors")
+    shared = firsts(seeds, "anchor").where("first < last").select("anchor")
+    linked = keep.store(seeds.join(shared, "anchor"), "linked")
+    keep.drop("anchors")
+
+    owners = firsts(linked, "anchor", "around").select("anchor", "around", "first")
+    known = linked.join(owners, ["anchor", "around"])
+    known = keep.store(known.withColumn("whole", F.col("first") < F.col("doc_id")).drop("first"), "known")
+    keep.drop("linked")
+    in_full = known.where("whole").select("doc_id", "tie", "at", "stop")
+
+    passages = keep.store(_passages(docs, _sides(known.where("NOT whole"), keep)), "passages")
+    held = firsts(passages, "passage_a", "passage_b").where("first < last").drop("last")
+    in_part = passages.where("later").join(held, ["passage_a", "passage_b"]).where("first < doc_id")
+    in_part = in_part.select("doc_id", "tie", "at", (F.col("at") + F.lit(LENGTH)).alias("stop"))
+    return in_full.unionByName(in_part)
+
+
+def _sides(owned: DataFrame, keep: Scratch) -> DataFrame:
+    """Words [at, stop) around anchors whose passages another document may hold, and if an earlier one."""
+    left = F.struct(
+        F.col("to_left").alias("half"),
+        "at",
+        # Passages that take all of the left half.
+        F.least("stop", F.col("place") + F.lit(LENGTH - HALF)).alias("stop"),
+        F.lit(True).alias("is_left"),
     )
-    in_full = known.where("whole").select("a", "b", "at", "stop")
-    # Anchors that a later document still has to match in part, and all owners of their surroundings.
-    open_ = keyed(known.where("later AND NOT whole"), "anchor").select("anchor")
-    wanted = known.where("NOT whole").join(open_, "anchor").groupBy("a", "b").agg(
-        F.collect_list(F.struct("at", "stop", "later")).alias("places")
+    right = F.struct(
+        F.col("to_right").alias("half"),
+        F.greatest("at", F.col("place") - F.lit(HALF - 1)).alias("at"),
+        "stop",
+        F.lit(False).alias("is_left"),
+    )
+    each = owned.select("doc_id", "tie", "anchor", F.explode(F.array(left, right)).alias("side"))
+    each = each.select("doc_id", "tie", "anchor", "side.*").where(
+        F.col("half").isNotNull() & (F.col("stop") - F.col("at") >= F.lit(LENGTH))
+    )
+    each = keep.store(each, "sides")
+    key = ["anchor", "half", "is_left"]
+    others = firsts(each, *key).where("first < last")
+    return each.join(others, key).select(
+        "doc_id", "tie", "at", "stop", (F.col("first") < F.col("doc_id")).alias("later")
     )
-    passages = stored(_passages(docs, wanted), "passages")
-    key = ["passage_a", "passage_b"]
-    held = passages.groupBy(*key, F.xxhash64(*key).alias("_spread")).agg(F.min("doc_id").alias("owner"))
-    in_part = passages.where("later").join(held.drop("_spread"), key).where("owner < doc_id")
-    in_part = in_part.select("a", "b", "at", (F.col("at") + F.lit(LENGTH)).alias("stop"))
-    return in_full.unionByName(in_part)
 
 
 def _passages(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Every passage of LENGTH words within the wanted places of each document, once."""
+    """Every passage of LENGTH words within the wanted words of each document, once."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,49 +193,54 @@ def _passages(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 places = part.column("places")
                 doc = np.repeat(np.arange(part.num_rows), np.diff(places.offsets.to_numpy()))
                 at, stop, later = (np.asarray(c) for c in places.flatten().flatten())
-                starts, is_later = [], []
-                for wants_later in (False, True):
-                    mine = later == wants_later
-                    steps = np.zeros(len(hashes) + 1, dtype=np.int64)
-                    low = words.first[doc[mine]] + at[mine]
-                    np.add.at(steps, low, 1)
-                    np.add.at(steps, low + np.maximum(stop[mine] - at[mine] - LENGTH + 1, 0), -1)
-                    starts.append(np.flatnonzero(np.cumsum(steps[:-1]) > 0))
-                    is_later.append(np.full(len(starts[-1]), wants_later))
-                starts, is_later = np.concatenate(starts), np.concatenate(is_later)
+                low = words.first[doc] + at
+                starts = _covered(len(hashes), low, low + stop - at - LENGTH + 1)
+                is_later = np.zeros(len(hashes) + 1, dtype=bool)
+                is_later[_covered(len(hashes), low[later], (low + stop - at - LENGTH + 1)[later])] = True
                 of = words.doc[starts]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(part.column(c).take(pa.array(of)) for c in ("a", "b", "doc_id")),
+                        *(part.column(c).take(pa.array(of)) for c in ("doc_id", "tie")),
                         pa.array((starts - words.first[of]).astype(np.int32)),
-                        pa.array(is_later),
+                        pa.array(is_later[starts]),
                         *map(pa.array, _twice(hashes, starts, starts + LENGTH)),
                     ],
                     names,
                 )
 
-    names = [c.strip().split()[0] for c in PASSAGES.split(",")]
-    rows = _keyed_texts(docs).join(wanted, ["a", "b"])
-    return rows.mapInArrow(cut, PASSAGES)
+    names = _names(PASSAGES)
+    of_text = wanted.groupBy("doc_id", "tie").agg(
+        F.collect_list(F.struct("at", "stop", "later")).alias("places")
+    )
+    return _tied_texts(docs).join(of_text, ["doc_id", "tie"]).mapInArrow(cut, PASSAGES)
+
+
+def _covered(n: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Places below n within any of the ranges [low, high)."""
+    steps = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(steps, low, 1)
+    np.add.at(steps, high, -1)
+    return np.flatnonzero(np.cumsum(steps[:-1]) > 0)
 
 
 def _merged(part: pa.RecordBatch, words: Words) -> np.ndarray:
     """Which words of a block lie in a span."""
     places = part.column("spans")
-    sizes = np.nan_to_num(np.diff(places.offsets.to_numpy())).astype(np.int64)
-    doc = np.repeat(np.arange(part.num_rows), sizes)
+    doc = np.repeat(np.arange(part.num_rows), np.diff(places.offsets.to_numpy()))
     at, stop = (np.asarray(c, dtype=np.int64) for c in places.flatten().flatten())
-    steps = np.zeros(len(words.starts) + 1, dtype=np.int64)
-    np.add.at(steps, words.first[doc] + at, 1)
-    np.add.at(steps, words.first[doc] + stop, -1)
-    return np.cumsum(steps[:-1]) > 0
+    gone = np.zeros(len(words.starts), dtype=bool)
+    gone[_covered(len(gone), words.first[doc] + at, words.first[doc] + stop)] = True
+    return gone
 
 
 def _with_spans(
-    docs: DataFrame, rows: DataFrame, columns: list[str], schema: str, made: Callable
+    docs: DataFrame, rows: DataFrame, columns: list[str], schema: str | StructType, made: Callable
 ) -> DataFrame:
     """Hand each text with its spans to `made`, which gives arrays beside the passed columns."""
-    found = spans(docs).groupBy("a", "b").agg(F.collect_list(F.struct("at", "stop")).alias("spans"))
+    keep = Scratch(docs.sparkSession, "repeats")
+    found = spans(docs, keep).groupBy("doc_id", "tie")
+    found = keep.store(found.agg(F.collect_list(F.struct("at", "stop")).alias("spans")), "spans")
+    keep.drop("known", "sides", "passages")
     none = F.array().cast("array<struct<at:int,stop:int>>")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +251,7 @@ def _with_spans(
                 passed = {c: part.column(c) for c in columns}
                 yield pa.RecordBatch.from_pydict(passed | beside)
 
-    joined = rows.join(found, ["a", "b"], "left").withColumn("spans", F.coalesce("spans", none))
+    joined = rows.join(found, ["doc_id", "tie"], "left").withColumn("spans", F.coalesce("spans", none))
     return joined.mapInArrow(each, schema)
 
 
@@ -234,7 +274,7 @@ def report(docs: DataFrame) -> DataFrame:
             "kept_sha256": pa.array(sums, pa.string()),
         }
 
-    rows = _keyed_texts(small_batches(docs))
+    rows = _tied_texts(small_batches(docs))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     return _with_spans(docs, rows, ["doc_id"], schema, made)
 
@@ -262,9 +302,9 @@ def clean(docs: DataFrame) -> DataFrame:
             out.append(data[begin:end][left].tobytes().decode())
         return {"changed": pa.array(out, pa.string())}
 
-    row = whole_rows(docs, row_key("doc_id", "text").alias("k"), F.col("text").cast("string").alias("text"))
-    rows = row.select("row", "k.a", "k.b", "text")
-    schema = f"row {docs.select(_struct(docs).alias('row')).schema['row'].dataType.simpleString()}, changed string"
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    rows = whole_rows(docs, doc_id.alias("doc_id"), _tie().alias("tie"), text.alias("text"))
+    schema = StructType([rows.schema["row"], StructField("changed", StringType())])
     out = _with_spans(docs, rows, ["row"], schema, made)
 
     def column(name: str) -> Column:
@@ -278,6 +318,3 @@ def clean(docs: DataFrame) -> DataFrame:
 
     return out.select(*[column(c) for c in docs.columns])
 
-
-def _struct(docs: DataFrame) -> Column:
-    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
