@@ -59,16 +59,19 @@ def sql_not_in(df: DataFrame, key: str, excluded: DataFrame) -> DataFrame:
     below the grouping, so its exchange runs once. The join is null-safe for that reason alone: an
     ordinary one would have the optimiser drop NULLs on one of the two paths. A literal NOT IN would
     instead have to broadcast the excluded keys whole, whatever their number.
+
+    The facts are one row, joined after the anti join and not asked for before it: so `df` is read
+    and shuffled while the excluded keys are still being found.
     """
     keys = keyed(excluded.select(F.col(key).alias("_key")), "_key").select("_key")
     facts = keys.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.max(F.col("_key").isNull()), F.lit(False)).alias("has_null"),
-        )
-    ).scalar()
-    possible = (facts["n"] == 0) | (~facts["has_null"] & F.col(key).isNotNull())
-    return df.where(possible).join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+        F.count(F.lit(1)).alias("_n"),
+        F.coalesce(F.max(F.col("_key").isNull()), F.lit(False)).alias("_has_null"),
+    )
+    possible = (F.col("_n") == 0) | (~F.col("_has_null") & F.col(key).isNotNull())
+    kept = df.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    # A global aggregate has exactly one row.
+    return kept.join(F.broadcast(facts), possible).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def any_of(flags: list[str]) -> Column:

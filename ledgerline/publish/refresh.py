@@ -50,19 +50,32 @@ def load_raw(
     base: str,
     run_id: str,
     expected_rows: dict[str, int] | None = None,
+    attempt: str | None = None,
+    source_counts: dict[str, DataFrame] | None = None,
 ) -> tuple[dict[str, dict], dict[str, DataFrame]]:
     """Replace the raw tables by an exact copy of the sources, all of them or none.
 
-    Rows are neither deduplicated nor cleaned. The copy is read back and compared with what its write
-    observed before it becomes current; the sources are read once. Returns the counts and the copy.
+    Rows are neither deduplicated nor cleaned. Before anything is read, each source is counted on its
+    own: by a row of `source_counts` (n_rows, n_keys), which a database computes where it is, or else
+    by a pass over the source. The copy is read back and compared with that count and with what its
+    write observed before it becomes current. Returns the counts and the copy.
+
+    Whoever goes on to read the copy takes a lease on `attempt` first.
     """
     missing = sorted(set(RAW_TABLES) - set(sources))
     if missing:
         raise IngestError(f"no source for {missing}")
     versions = Versions(spark, f"{base}/raw")
-    attempt = versions.new_attempt(run_id)
+    attempt = attempt or versions.new_attempt(run_id)
     try:
-        written, observed = {}, {}
+        written, observed, counted = {}, {}, {}
+        for name, table in RAW_TABLES.items():
+            try:
+                frame = (source_counts or {}).get(name)
+                frame = reconcile.profile(sources[name], table.key) if frame is None else frame
+                counted[name] = frame.select("n_rows", "n_keys").first().asDict()
+            except (PySparkException, Py4JJavaError) as e:
+                raise IngestError(f"{name}: cannot be counted") from e
         for name, table in RAW_TABLES.items():
             observed[name] = reconcile.fingerprint(table.key)
             try:
@@ -72,7 +85,7 @@ def load_raw(
                 raise IngestError(f"{name}: cannot be loaded") from e
 
         report, counts = reconcile.differences(
-            observed, lambda name: spark.read.parquet(versions.path(attempt, name))
+            observed, lambda name: spark.read.parquet(versions.path(attempt, name)), counted
         )
         if report:
             raise RawValidationError("; ".join(report))
@@ -104,6 +117,7 @@ def refresh(
     expected_rows: dict[str, int] | None = None,
     extra_checks: list[Check] | None = None,
     keep_runs: int = KEEP_RUNS,
+    source_counts: dict[str, DataFrame] | None = None,
 ) -> Refresh:
     """Load, build, check and publish one run below `base`, a folder all executors can reach.
 
@@ -116,36 +130,40 @@ def refresh(
     base, target = base.rstrip("/"), resolve_target(target, run_conf)
     run_id = run_id or uuid.uuid4().hex
     as_of = as_of or dt.datetime.now(dt.timezone.utc).date()
-    versions = Versions(spark, f"{base}/{target}")
+    versions, raw_versions = Versions(spark, f"{base}/{target}"), Versions(spark, f"{base}/raw")
     versions.create_views(f"billing_{target}")
-    counts, raw = load_raw(spark, sources, base, run_id, expected_rows)
-
-    attempt = versions.new_attempt(run_id)
-    models = Models(
-        raw,
-        as_of,
-        rates=rates,
-        normalize_keys=normalize_keys,
-        # So the checks read the marts as written, not the plans that wrote them.
-        keep=lambda df, name: versions.stage(df, attempt, name),
-    )
-    try:
-        models.build_together()
-        checks = all_checks(models) + [quarantine_has_ids(models.issues_invoices)]
-        checks += extra_checks or []
-        summary = versions.stage(summarise(checks), attempt, "check_results")
-        failed = summary.where(summary.outcome == ERROR).select("check_name", "failures").collect()
-        if failed:
-            named = ", ".join(f"{r['check_name']} ({r['failures']})" for r in failed)
-            raise MartContractError(f"not published: {named}")
-    except Exception:
-        versions.discard(attempt)
-        raise
-    published = (*models.marts, *models.issue_tables)
-    versions.publish(run_id, attempt, list(published))
-    versions.discard(attempt, keep=(*published, "check_results"))
+    raw_attempt, attempt = raw_versions.new_attempt(run_id), versions.new_attempt(run_id)
+    # Other runs, of this target or another, replace raw meanwhile, and may be through first.
+    with raw_versions.lease(raw_attempt), versions.lease(attempt):
+        counts, raw = load_raw(
+            spark, sources, base, run_id, expected_rows, raw_attempt, source_counts
+        )
+        models = Models(
+            raw,
+            as_of,
+            rates=rates,
+            normalize_keys=normalize_keys,
+            # So the checks read the marts as written, not the plans that wrote them.
+            keep=lambda df, name: versions.stage(df, attempt, name),
+        )
+        try:
+            models.build_together()
+            checks = all_checks(models) + [quarantine_has_ids(models.issues_invoices)]
+            checks += extra_checks or []
+            summary = versions.stage(summarise(checks), attempt, "check_results")
+            failed = summary.where(summary.outcome == ERROR).select("check_name", "failures").collect()
+            if failed:
+                named = ", ".join(f"{r['check_name']} ({r['failures']})" for r in failed)
+                raise MartContractError(f"not published: {named}")
+        except Exception:
+            versions.discard(attempt)
+            raise
+        published = (*models.marts, *models.issue_tables)
+        versions.publish(run_id, attempt, list(published))
+        versions.discard(attempt, keep=(*published, "check_results"))
     versions.create_views(f"billing_{target}")
-    for each in (versions, Versions(spark, f"{base}/raw")):
+    for each in (versions, raw_versions):
         each.retain(keep_runs)
+    versions.drop_old_databases(f"billing_{target}")
     log.info("run %s published %s to %s", run_id, ", ".join(published), target)
     return Refresh(run_id, target, counts, summary, published)

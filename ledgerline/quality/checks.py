@@ -32,6 +32,17 @@ class Check:
     frame: DataFrame | None = None
     counted: Column | None = None
     tolerated: int = 0
+    stacked: Keys | None = None
+
+
+@dataclass(frozen=True)
+class Keys:
+    """The keys a rule compares: those of `frame`, and those of `parent` if it asks for a parent."""
+
+    frame: DataFrame
+    columns: tuple[str, ...]
+    parent: DataFrame | None = None
+    field: str | None = None
 
 
 def row_rule(
@@ -78,7 +89,8 @@ def unique_combination(
         keyed_rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
     )
     name = name or f"unique_combination_{relation}_{'_'.join(columns)}"
-    return Check(name, relation, severity, repeated, F.count(F.lit(1)))
+    keys = Keys(frame, tuple(columns))
+    return Check(name, relation, severity, repeated, F.count(F.lit(1)), stacked=keys)
 
 
 def accepted_values(
@@ -108,20 +120,24 @@ def relationships(
     parents = parent.select(F.col(field).alias(column)).distinct()
     dangling = references.join(parents, column, "left_anti")
     name = f"relationships_{relation}_{column}"
-    return Check(name, relation, severity, dangling, F.coalesce(F.sum("n_records"), F.lit(0)))
+    failures = F.coalesce(F.sum("n_records"), F.lit(0))
+    keys = Keys(frame, (column,), parent, field)
+    return Check(name, relation, severity, dangling, failures, stacked=keys)
 
 
 def summarise(checks: list[Check]) -> DataFrame:
     """One row per check: failures and outcome.
 
-    Rules that can be counted on their frame share one scan of it; every other check is one
-    aggregation.
+    Rules that can be counted on their frame share one scan of it, and all rules about keys share one
+    scan of each frame and one aggregation; every other check is an aggregation of its own.
     """
     shared: dict[int, list[Check]] = {}
-    parts = []
+    about_keys, parts = [], []
     for check in checks:
         if check.counted is not None:
             shared.setdefault(id(check.frame), []).append(check)
+        elif check.stacked is not None:
+            about_keys.append(check)
         else:
             parts.append(
                 check.rows.agg(F.array(_result(check, check.failures)).alias("results"))
@@ -129,12 +145,55 @@ def summarise(checks: list[Check]) -> DataFrame:
     for group in shared.values():
         results = [_result(c, c.counted) for c in group]
         parts.append(group[0].frame.agg(F.array(*results).alias("results")))
+    if about_keys:
+        parts.append(_count_keys(about_keys))
     counted = union_all(parts).select(F.inline("results"))
     return counted.withColumn(
         "outcome", F.when(F.col("failures") > F.col("tolerated"), F.col("severity")).otherwise(PASS)
     ).drop("tolerated")
 
 
+def _count_keys(checks: list[Check]) -> DataFrame:
+    """The results of all rules about keys, from one aggregation over rows (rule, key).
+
+    Every row of a frame is read once and stacked as often as rules name its keys. Each task counts its
+    own rows per rule and key first, so a key that fills a third of a table is sent once per task.
+    """
+    frames: dict[int, tuple[DataFrame, list[Column]]] = {}
+
+    def stack(number: int, frame: DataFrame, columns: tuple[str, ...], is_parent: bool) -> None:
+        # A lone NULL is no value; within several columns it is one, spelled apart from every text.
+        texts = [F.col(c).cast("string") for c in columns]
+        spelled = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("~")) for t in texts]
+        row = F.struct(
+            F.lit(number).alias("rule"),
+            (texts[0] if len(texts) == 1 else F.concat(*spelled)).alias("key"),
+            F.lit(is_parent).alias("is_parent"),
+        )
+        frames.setdefault(id(frame), (frame, []))[1].append(row)
+
+    for number, check in enumerate(checks):
+        keys = check.stacked
+        stack(number, keys.frame, keys.columns, False)
+        if keys.parent is not None:
+            stack(number, keys.parent, (keys.field,), True)
+    rows = union_all(
+        [frame.select(F.inline(F.array(*own))) for frame, own in frames.values()]
+    ).where("key IS NOT NULL")
+    each = rows.groupBy("rule", "key").agg(
+        F.count_if(~F.col("is_parent")).alias("n"), F.max("is_parent").alias("has_parent")
+    )
+
+    def failures(number: int, check: Check) -> Column:
+        mine = F.col("rule") == F.lit(number)
+        if check.stacked.parent is None:
+            return F.count_if(mine & (F.col("n") > 1))
+        return F.coalesce(F.sum(F.when(mine & ~F.col("has_parent"), F.col("n"))), F.lit(0))
+
+    results = [_result(c, failures(k, c)) for k, c in enumerate(checks)]
+    return each.agg(F.array(*results).alias("results"))
+
+
 def totals(summary: DataFrame) -> DataFrame:
     """How many checks passed, warned and failed."""
     return summary.groupBy("outcome").agg(F.count(F.lit(1)).alias("checks"))

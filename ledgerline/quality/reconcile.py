@@ -57,9 +57,14 @@ def fingerprint(key: str) -> dict[str, Column]:
 
 
 def differences(
-    observed: Mapping[str, Mapping], read_copy: Callable[[str], DataFrame]
+    observed: Mapping[str, Mapping],
+    read_copy: Callable[[str], DataFrame],
+    counted: Mapping[str, Mapping] | None = None,
 ) -> tuple[list[str], dict[str, dict]]:
-    """Read every copy anew and hold it against what its write observed.
+    """Read every copy anew and hold it against what its write observed, and what its source counted.
+
+    A write sees only the rows that reach it; `counted`, the rows and distinct keys that the source
+    itself reported beforehand, tells of rows that were lost on the way or changed in between.
 
     Every table is looked at, whatever the others are like; the report has an entry per difference.
     Only one row of counts per table reaches the driver.
@@ -88,6 +93,11 @@ def differences(
             for measure in source
             if source[measure] != row[measure]
         ]
+        report += [
+            f"{name}[source {measure}]: counted {expected}, read {counts[name][measure]}"
+            for measure, expected in (counted or {}).get(name, {}).items()
+            if expected != counts[name][measure]
+        ]
         if row["keyless"]:
             report.append(f"{name}[keyless]: {row['keyless']} without {key}, none allowed")
     return report, counts

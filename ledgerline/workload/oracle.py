@@ -150,19 +150,15 @@ VIEWS = {
         SELECT * FROM (VALUES ('EUR', CAST(1.0 AS DECIMAL(10,4))),
                               ('SEK', CAST(0.087 AS DECIMAL(10,4)))) AS t(currency, rate)""",
     "usable_subscriptions": """
-        WITH backward AS (
-            SELECT list(subscription_id) AS ids FROM issues_subscriptions WHERE has_invalid_end_date
-        ), unusable AS (
-            SELECT list(subscription_id) AS ids FROM issues_subscriptions WHERE excluded_from_marts
-        ), sound AS (
-            SELECT subscription_id, customer_id, plan_name, monthly_price, start_date, end_date,
-                   status, subscription_id IS NOT NULL AND EXISTS (FROM backward, unnest(ids) AS t(id)
-                       WHERE id = subscription_id) AS has_unreliable_end_date
-            FROM stg_subscriptions
-            WHERE NOT EXISTS (FROM unusable, unnest(ids) AS t(id) WHERE id = subscription_id)
-        )
-        SELECT *, CASE WHEN has_unreliable_end_date OR end_date IS NULL THEN FALSE
-                       ELSE status = 'cancelled' END AS is_churn_eligible FROM sound""",
+        SELECT *, status = 'cancelled' AND end_date IS NOT NULL AND NOT has_unreliable_end_date
+                   AS is_churn_eligible
+        FROM (
+            SELECT s.*, EXISTS (SELECT 1 FROM issues_subscriptions i
+                                WHERE i.subscription_id = s.subscription_id AND i.has_invalid_end_date)
+                       AS has_unreliable_end_date
+            FROM stg_subscriptions s
+            WHERE NOT EXISTS (SELECT 1 FROM issues_subscriptions i
+                              WHERE i.subscription_id = s.subscription_id AND i.excluded_from_marts))""",
     "paid_invoices_eur": """
         SELECT invoice_id, i.subscription_id, customer_id, plan_name, invoice_date,
                CAST(date_trunc('month', invoice_date) AS DATE) AS invoice_month,
@@ -223,13 +219,14 @@ VIEWS = {
         SELECT * FROM customer_starts
         WHERE least(earliest_subscription_start, {AS_OF_DATE}) < created_at""",
     "negative_figures": """
-        WITH figures (model, key, value, least_allowed) AS (
-            SELECT 'subscription_churn', CAST(churn_month AS VARCHAR), mrr_lost_eur, 0.01
-            FROM subscription_churn
-            UNION ALL SELECT 'customer_ltv', customer_id, total_revenue_eur, 0 FROM customer_ltv
-            UNION ALL SELECT 'fct_mrr', CAST(invoice_month AS VARCHAR), mrr_eur, 0
-            FROM mrr_by_month_plan)
-        SELECT * EXCLUDE (least_allowed) FROM figures WHERE value < least_allowed""",
+        SELECT 'fct_mrr' AS model, CAST(invoice_month AS VARCHAR) AS key, mrr_eur AS value
+        FROM mrr_by_month_plan WHERE mrr_eur < 0
+        UNION ALL
+        SELECT 'customer_ltv', customer_id, total_revenue_eur
+        FROM customer_ltv WHERE total_revenue_eur < 0
+        UNION ALL
+        SELECT 'subscription_churn', CAST(churn_month AS VARCHAR), mrr_lost_eur
+        FROM subscription_churn WHERE mrr_lost_eur <= 0""",
     "revenue_totals": """
         SELECT CAST(m.total AS DECIMAL(28,2)) AS fct_mrr_total_eur,
                CAST(l.total AS DECIMAL(28,2)) AS customer_ltv_total_eur,
@@ -419,7 +416,7 @@ def _suite() -> str:
             "no_quarantined_revenue",
             "int_paid_invoices_eur",
             error,
-            "SELECT count(*) FROM quarantined_revenue",
+            "SELECT coalesce(sum(n_records), 0) FROM quarantined_revenue",
         ),
     ]
     return _results(counts)

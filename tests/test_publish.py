@@ -124,6 +124,172 @@ def test_interleaved_refreshes_read_their_own_raw(spark, raw, tmp_path, monkeypa
     assert run_of(Versions(spark, f"{base}/raw"), "customers") == "overtaking"
 
 
+def test_a_slow_run_keeps_its_raw_copy(spark, raw, tmp_path, monkeypatch):
+    """While one run builds its marts, three others load, publish and clean up with keep_runs=1."""
+    import os
+    import sys
+
+    module = sys.modules["ledgerline.publish.refresh"]
+    base, other = str(tmp_path), raw([customer("C9")], [subscription("S9", "C9")], [invoice("I9", "S9", amount="1.00")])
+    load, run = module.load_raw, module.refresh
+    overtaken = []
+
+    def load_and_be_overtaken(*args):
+        loaded = load(*args)
+        if not overtaken:
+            overtaken.append(args[3])
+            for k in range(3):
+                run(spark, other, base, target="prod", as_of="2026-09-01", run_id=f"fast{k}", keep_runs=1)
+        return loaded
+
+    monkeypatch.setattr(module, "load_raw", load_and_be_overtaken)
+    refresh(spark, raw([customer()], [subscription()], [invoice()]), base, as_of="2026-09-01", run_id="slow", keep_runs=1)
+    assert overtaken == ["slow"]
+    assert [r["mrr_eur"] for r in rows(Versions(spark, f"{base}/dev").read("fct_mrr"))] == [Decimal("29.00")]
+    assert [r["mrr_eur"] for r in rows(Versions(spark, f"{base}/prod").read("fct_mrr"))] == [Decimal("1.00")]
+    # With its lease the slow run's raw copy went, too.
+    left = [d for d in os.listdir(f"{base}/raw/_runs") if not d.startswith(".")]
+    assert len(left) == 1 and left[0].startswith("fast2-")
+
+
+def test_leases_end_by_themselves(spark, tmp_path):
+    import time
+
+    from ledgerline.publish.leases import Lease, held
+
+    folder = f"{tmp_path}/_leases"
+    with Lease(spark, folder, "a", renew_every=0.2), Lease(spark, folder, "a", renew_every=60):
+        time.sleep(1.2)
+        # The first is renewed, whatever the age of the other.
+        assert held(spark, folder, lease_for=1.0) == {"a"}
+    assert held(spark, folder, lease_for=60) == set()
+    crashed = Lease(spark, folder, "b", renew_every=60)
+    crashed.storage.touch(crashed.path)
+    assert held(spark, folder, lease_for=60) == {"b"}
+    time.sleep(1.2)
+    assert held(spark, folder, lease_for=1.0) == set()
+
+
+def test_readers_stay_with_one_run(spark, raw, tmp_path):
+    base = str(tmp_path)
+    one = raw([customer()], [subscription()], [invoice()])
+    two = raw([customer("C2")], [subscription("S2", "C2")], [invoice("I2", "S2", amount="7.00")])
+    refresh(spark, one, base, as_of="2026-09-01", run_id="one", keep_runs=1)
+    versions = Versions(spark, f"{base}/dev")
+    pointer = rows(spark.table("billing_dev.current_run"))
+    assert [r["run_id"] for r in pointer] == ["one"]
+    database = pointer[0]["database_name"]
+
+    with versions.reading() as tables:
+        first = rows(tables["fct_mrr"])
+        refresh(spark, two, base, as_of="2026-09-01", run_id="two", keep_runs=1)
+        # A loop over the tables, by paths or by the database it was given, sees the first run to its end.
+        assert [r["mrr_eur"] for r in first] == [Decimal("29.00")]
+        assert [r["customer_id"] for r in rows(tables["customer_ltv"])] == ["C1"]
+        assert [r["customer_id"] for r in rows(spark.table(f"{database}.customer_ltv"))] == ["C1"]
+        assert [r["mrr_eur"] for r in rows(spark.table(f"{database}.fct_mrr"))] == [Decimal("29.00")]
+    assert [r["run_id"] for r in rows(spark.table("billing_dev.current_run"))] == ["two"]
+    assert [r["customer_id"] for r in rows(spark.table("billing_dev.customer_ltv"))] == ["C2"]
+
+    # Without a reader, the next run clears the first one away, in the catalog as well.
+    refresh(spark, two, base, as_of="2026-09-01", run_id="three", keep_runs=1)
+    left = [r[0] for r in spark.sql("SHOW DATABASES LIKE 'billing_dev__*'").collect()]
+    assert len(left) == 1 and left[0].startswith("billing_dev__three_")
+
+
+def test_revenue_is_stored_by_month(spark, raw, tmp_path):
+    import os
+
+    months = [f"2024-{m:02}-05" for m in range(1, 7)]
+    subscriptions = [subscription(f"S{k}", plan=p) for k, p in enumerate(("starter", "growth", "scale"))]
+    invoices = [invoice(f"I{m}-{k}", f"S{k % 3}", on=day) for m, day in enumerate(months) for k in range(30)]
+    base = str(tmp_path)
+    refresh(spark, raw([customer()], subscriptions, invoices), base, as_of="2026-09-01")
+    versions = Versions(spark, f"{base}/dev")
+    folder = versions.current()["fct_mrr"]
+    by_month = {d: [f for f in os.listdir(f"{folder}/{d}") if f.endswith(".parquet")] for d in os.listdir(folder) if "=" in d}
+    assert len(by_month) == 6 and {len(files) for files in by_month.values()} == {1}
+
+    for march in (versions.read("fct_mrr"), spark.table("billing_dev.fct_mrr")):
+        assert march.columns[0] == "invoice_month" and march.schema["invoice_month"].metadata["comment"]
+        march = march.where("invoice_month = DATE '2024-03-01'")
+        assert march.count() == 3 and march.agg(F.sum("paid_invoices")).first()[0] == 30
+        plan = march._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(invoice_month" in plan, plan
+        scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+        assert "2024-03-01" in scan or "19783" in scan
+
+
+def test_a_hot_month_is_written_by_several_tasks(spark, tmp_path):
+    import os
+
+    names = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.shuffle.partitions": "4"}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        paid = spark.range(60_000).repartition(6).selectExpr(
+            "uuid() AS invoice_id", "add_months(DATE '2024-01-01', IF(id % 3 = 0, 5, CAST(id % 12 AS INT))) AS invoice_month"
+        )
+        paid = paid.unionByName(spark.range(1000).selectExpr("uuid() AS invoice_id", "CAST(NULL AS DATE) AS invoice_month"))
+        versions = Versions(spark, str(tmp_path))
+        stored = versions.stage(paid, "a", "int_paid_invoices_eur")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    files = {d: [f for f in os.listdir(f"{tmp_path}/_runs/a/int_paid_invoices_eur/{d}") if f.endswith(".parquet")]
+             for d in os.listdir(f"{tmp_path}/_runs/a/int_paid_invoices_eur") if "=" in d}
+    hot = "invoice_month=2024-06-01"
+    assert len(files) == 9 and len(files[hot]) >= 4
+    assert stored.where("invoice_month IS NULL").count() == 1000
+    assert stored.count() == 61_000 and stored.columns == ["invoice_id", "invoice_month"]
+
+
+def test_an_empty_mart_can_be_read(spark, raw, tmp_path):
+    versions = Versions(spark, f"{tmp_path}/x")
+    empty = spark.createDataFrame(
+        [],
+        "invoice_month date, plan_name string, paid_invoices long, paying_subscriptions long,"
+        " paying_customers long, mrr_eur decimal(28,2)",
+    )
+    versions.stage(empty, "a", "fct_mrr")
+    versions.publish("r", "a", ["fct_mrr"])
+    versions.create_views("billing_empty")
+    for frame in (Versions(spark, f"{tmp_path}/x").read("fct_mrr"), spark.table("billing_empty.fct_mrr")):
+        assert frame.columns == empty.columns and frame.count() == 0
+
+
+def test_a_source_that_loses_rows_between_count_and_extract_is_caught(spark, sources, tmp_path):
+    """The copy is a faithful one of what was read, but not of what the source had counted."""
+    base = str(tmp_path)
+    counts = {"invoices": spark.createDataFrame([(9, 9)], "n_rows long, n_keys long")}
+    with pytest.raises(RawValidationError, match=r"invoices\[source n_rows\]: counted 9, read 8"):
+        load_raw(spark, sources, base, "a", source_counts=counts)
+    assert Versions(spark, f"{base}/raw").current() == {}
+    counts = {"invoices": spark.createDataFrame([(8, 8)], "n_rows long, n_keys long")}
+    load_raw(spark, sources, base, "b", source_counts=counts)
+
+    # The same for a source that only Spark can count: a file that goes after the count.
+    import os
+
+    path = f"{base}/invoices"
+    sources["invoices"].repartition(4, "invoice_id").write.parquet(path)
+    shrinking = spark.read.schema(sources["invoices"].schema).option("ignoreMissingFiles", True).parquet(path)
+    plain = reconcile.profile
+
+    def profile(df, key):
+        row = plain(df, key).collect()
+        if key == "invoice_id":
+            lost = next(f for f in sorted(os.listdir(path)) if f.endswith(".parquet"))
+            os.remove(f"{path}/{lost}")
+        return spark.createDataFrame(row, "n_rows long, n_keys long, n_null_keys long")
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(reconcile, "profile", profile)
+        with pytest.raises(RawValidationError, match=r"invoices\[source n_rows\]: counted 8, read"):
+            load_raw(spark, {**sources, "invoices": shrinking}, base, "c")
+
+
 def test_only_the_kept_runs_remain(spark, raw, tmp_path):
     import os
 

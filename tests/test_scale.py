@@ -118,7 +118,11 @@ def test_dedupe_reduces_a_hot_key_before_the_shuffle(spark, skewed):
 def test_not_in_does_not_broadcast_what_it_excludes(spark, skewed, no_broadcast):
     ids = skewed()["invoices"].select("invoice_id")
     plan = final_plan(sql_not_in(ids, "invoice_id", ids.where("invoice_id > 'I5'")))
-    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    # All that is broadcast is the one row of facts about the excluded keys, after the anti join.
+    assert plan.count("BroadcastExchange") == 1 and plan.count("BroadcastNestedLoopJoin") == 1
+    anti = plan.index("SortMergeJoin")
+    assert "LeftAnti" in plan[anti:].split("\n")[0] and plan.index("BroadcastNestedLoopJoin") < anti
+    assert "HashAggregate(keys=[]" in plan[plan.index("BroadcastExchange") :].split("keys=[_key")[0]
 
 
 def test_only_the_columns_a_mart_needs_are_read(spark, skewed):
@@ -192,3 +196,21 @@ def test_keyed_is_one_row_per_key(spark):
 def test_hot_null_references_are_kept(spark, raw):
     data = raw([customer()], [subscription("S1", owner=None), subscription("S2", owner=None)])
     assert Models(data, "2024-06-01").flagged_subscriptions.where("has_orphan_customer").count() == 2
+
+
+def test_the_suite_reads_each_table_a_few_times(spark, skewed):
+    """Rules about keys share one scan of each table and one aggregation."""
+    from ledgerline.quality import checks, rules
+
+    raw = skewed()
+    suite = rules.raw_checks(raw, "2024-06-01")
+    plan = checks.summarise(suite)._jdf.queryExecution().executedPlan().toString()
+    scans = {name: plan.count(f"/{name}]") for name in raw}
+    assert scans["invoices"] <= 3 and scans["subscriptions"] <= 4 and scans["customers"] <= 3, scans
+    about_keys = [c for c in suite if c.stacked is not None]
+    assert len(about_keys) == 5
+    plan = checks.summarise(about_keys)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3 and plan.count("Exchange hashpartitioning") == 1
+    failures = {r["check_name"]: r["failures"] for r in rows(checks.summarise(suite))}
+    for check in suite:
+        assert failures[check.name] == check.rows.agg(check.failures.alias("n")).first()["n"]

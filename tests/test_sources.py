@@ -1,14 +1,25 @@
 """CSV extracts: by name, verbatim, strictly typed."""
 
+import datetime as dt
+import random
+from collections import Counter
+
+import duckdb
 import pytest
 from billing import rows
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ledgerline.errors import IngestError
 from ledgerline.schemas import CUSTOMERS, INVOICES, SUBSCRIPTIONS
 from ledgerline.sources import read_billing_csv, read_csv_table
-from ledgerline.sources.jdbc import read_billing_jdbc, read_jdbc_table
+from ledgerline.sources.jdbc import (
+    count_jdbc_table,
+    depth_predicates,
+    read_billing_jdbc,
+    read_jdbc_table,
+)
 
 INVOICE_HEADER = "invoice_id,subscription_id,invoice_date,amount,currency,status\n"
 
@@ -108,27 +119,63 @@ class FakeReader:
 
     def jdbc(self, url, table, **options):
         self.calls.append(options | {"table": table})
-        if table.startswith("(SELECT MIN("):
-            column = table[len("(SELECT MIN(") :].split(")")[0]
-            return self.frame.selectExpr(f"min({column}) AS low", f"max({column}) AS high")
+        if " GROUP BY d) " in table:
+            return self.frame.groupBy(F.col("d").alias("day")).agg(F.count("*").alias("n"))
+        if table.startswith("(SELECT COUNT("):
+            return self.frame.agg(F.count("*").alias("n_rows"), F.count_distinct("k").alias("n_keys"))
         return self.frame
 
 
-def test_jdbc_ranges_come_from_the_table_and_cover_it(spark):
-    frame = spark.sql("SELECT DATE '2024-01-01' AS d UNION ALL SELECT DATE '2024-12-31' UNION ALL SELECT NULL")
-    reader = FakeReader(frame)
-    read_jdbc_table(reader, "jdbc:x", "invoices", key="k", split_by="d", partitions=8)
-    assert reader.calls[0]["table"] == "(SELECT MIN(d) AS low, MAX(d) AS high FROM invoices) bounds"
-    cut = reader.calls[-1]
-    assert (cut["column"], cut["lowerBound"], cut["upperBound"], cut["numPartitions"]) == (
-        "d", "2024-01-01", "2024-12-31", 8)
+def test_jdbc_parts_follow_the_rows_per_day(spark):
+    """Half the rows are on one day, which half of the parts read."""
+    days = "SELECT id AS k, CASE WHEN id < 50 THEN DATE '2024-06-01' ELSE date_add(DATE '2024-05-08', CAST(id - 50 AS INT)) END AS d FROM range(100)"
+    reader = FakeReader(spark.sql(days))
+    read_jdbc_table(reader, "jdbc:x", "invoices", key="k", split_by="d", partitions=4)
+    assert reader.calls[0]["table"] == "(SELECT d AS day, COUNT(*) AS n FROM invoices GROUP BY d) depths"
+    assert reader.calls[-1]["predicates"] == [
+        "d < DATE '2024-06-01'",
+        "d = DATE '2024-06-01' AND (MOD(CRC32(k), 3) = 0 OR k IS NULL)",
+        "d = DATE '2024-06-01' AND (MOD(CRC32(k), 3) = 1)",
+        "d = DATE '2024-06-01' AND (MOD(CRC32(k), 3) = 2)",
+        "d > DATE '2024-06-01'",
+        "d IS NULL",
+    ]
     halves = ["d < '2024-06-01'", "d >= '2024-06-01' OR d IS NULL"]
     read_jdbc_table(reader, "jdbc:x", "invoices", key="k", split_by="d", predicates=halves)
     assert reader.calls[-1]["predicates"] == halves and len(reader.calls) == 3
 
 
-@pytest.mark.parametrize("rows_", ["SELECT DATE '2024-01-01' AS d", "SELECT CAST(NULL AS DATE) AS d", None])
-def test_jdbc_without_a_range_is_cut_by_the_key(spark, rows_):
+@pytest.mark.parametrize("seed", range(12))
+def test_jdbc_parts_are_disjoint_cover_the_table_and_are_even(seed):
+    rng = random.Random(seed)
+    weights = [(dt.date(2024, 1, 1) + dt.timedelta(days=rng.randrange(60)), rng.choice((1, 2, 30, 200))) for _ in range(20)]
+    weights += [(None, rng.choice((0, 5, 400)))]
+    rows_ = [(f"k{j}" if j % 17 else None, day) for j, day in enumerate(d for d, n in weights for _ in range(n))]
+    depths = Counter(day for _, day in rows_)
+    parts = rng.choice((1, 3, 8, 40))
+    cuts = depth_predicates("d", "k", depths.items(), parts, "CASE WHEN {key} IS NOT NULL THEN hash({key}) % {n} END")
+    # Rows that come after counting: earlier, later, in between and without a day.
+    late = [("x", dt.date(2023, 1, 1)), ("y", dt.date(2030, 1, 1)), ("z", None)]
+    late += [(f"l{j}", dt.date(2024, 1, 1) + dt.timedelta(days=j)) for j in range(60)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (k VARCHAR, d DATE, late BOOLEAN)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?)", [(*r, False) for r in rows_] + [(*r, True) for r in late])
+    counts = [con.execute(f"SELECT count(*), count(k) FILTER (NOT late) FROM t WHERE {c}").fetchone() for c in cuts]
+    assert sum(all_ for all_, _ in counts) == len(rows_) + len(late)
+    full = -(-len(rows_) // parts)
+    assert len(cuts) <= 3 * parts + 2
+    assert max(n for _, n in counts) <= 1.5 * full + 10
+
+
+def test_jdbc_counts_its_own_rows(spark):
+    reader = FakeReader(spark.sql("SELECT * FROM VALUES ('a'), ('a'), ('b'), (NULL) AS t(k)"))
+    (row,) = count_jdbc_table(reader, "jdbc:x", "invoices", key="k").collect()
+    assert reader.calls[0]["table"] == "(SELECT COUNT(*) AS n_rows, COUNT(DISTINCT k) AS n_keys FROM invoices) counts"
+    assert (row["n_rows"], row["n_keys"]) == (4, 2)
+
+
+@pytest.mark.parametrize("rows_", ["SELECT DATE '2024-01-01' AS d WHERE FALSE", "SELECT TIMESTAMP '2024-01-01 10:00:00' AS d", None])
+def test_jdbc_without_days_is_cut_by_the_key(spark, rows_):
     reader = FakeReader(spark.sql(rows_ or "SELECT 1 AS d"))
     read_jdbc_table(reader, "jdbc:x", "invoices", key="k", split_by="d" if rows_ else None, partitions=3)
     assert reader.calls[-1]["predicates"] == [
