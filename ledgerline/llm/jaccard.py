@@ -510,7 +510,8 @@ def components(edges: DataFrame) -> DataFrame:
     """The root, its smallest name, of every node with an edge, by alternating star contractions.
 
     A round keeps, for every node, links to the smallest node it knows. Popular nodes only meet
-    aggregations with a map side and joins whose large partitions can be split.
+    aggregations with a map side and joins whose large partitions can be split, as both sides have an
+    exchange of their own.
     """
     edges = edges.select(
         F.greatest("sid", "other").alias("u"), F.least("sid", "other").alias("v")
@@ -519,11 +520,11 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
+        low = keyed(both, "u", F.min("v").alias("m"))
         low = low.select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = keyed(large, "u", F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.where("u != v").unionByName(low.select("u", F.col("m").alias("v")))
         edges = stored(small.distinct(), "edges")
@@ -554,7 +555,7 @@ def members(docs: DataFrame) -> DataFrame:
     sets_of = sets_of.join(roots, "sid", "left").select(
         "sid", "first", F.coalesce("root", "sid").alias("root")
     )
-    smallest = sets_of.groupBy("root").agg(F.min("first").alias("component_id"))
+    smallest = keyed(sets_of, "root", F.min("first").alias("component_id"))
     named = sets_of.join(smallest, "root").select("sid", "root", "component_id")
     out = rows.join(named, "sid", "left")
     return out.select(

@@ -90,9 +90,11 @@ WITH d AS (
     WHERE length(v) >= CASE kind WHEN 'assign' THEN 12 WHEN 'access' THEN 18 WHEN 'hex' THEN 16
         ELSE 20 END
 ), owned AS (
-    SELECT v, count(*) AS owners FROM (SELECT DISTINCT v, source FROM kept) GROUP BY v
+    SELECT v, count(*) AS repositories, count(DISTINCT source) + count(DISTINCT source IS NULL OR NULL)
+        AS owners
+    FROM (SELECT DISTINCT v, source, lang FROM kept) GROUP BY v
 ), judged AS (
-    SELECT *, owners = 1 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
+    SELECT *, repositories = 1 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
         AND len(list_distinct(string_split(v, ''))) >= 8 AS live
     FROM kept JOIN owned USING (v)
 ), spans AS (
@@ -111,12 +113,14 @@ WITH d AS (
     SELECT rid, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
         count(*) FILTER (WHERE kind = 'access') AS n_access,
         count(*) FILTER (WHERE kind = 'hex') AS n_hex,
-        count(*) FILTER (WHERE owners >= 3) AS n_example
+        count(*) FILTER (WHERE repositories >= 3) AS n_example,
+        max(owners) AS n_owners, max(repositories) AS n_repositories
     FROM judged GROUP BY rid
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
     coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-    coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+    coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+    coalesce(n_owners, 0) AS n_owners, coalesce(n_repositories, 0)::BIGINT AS n_repositories
 FROM d LEFT JOIN counted USING (rid) LEFT JOIN listed USING (rid)"""
 
 REPEATS = r"""

@@ -5,8 +5,9 @@ doc_id. Readers take stripes in parallel; a filter on doc_id skips stripes and r
 statistics and Bloom filters without decoding ids.
 
 Defined cases: a null or empty text is the end id alone; null ids come first; rows with equal ids are
-ordered by a hash of the text; extra columns are not written. An empty table gives no rows. No cut of
-the key range can be too large: equal ids are spread by the hash.
+ordered by a hash of the text; extra columns are not written. An empty table gives no rows. Files hold
+about as many documents each, and there are as many files as the bytes of all texts ask for. Equal ids
+are told apart by the hash, and equal rows by their place in the input, so ranges can be cut anywhere.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from ledgerline.llm.text import TextBlock, Words, blocks
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
-# Documents per file, on average, and the knobs of the format.
-FILE_ROWS = 20_000
+# Bytes of text per file, on average, and the knobs of the format.
+FILE_BYTES = 64_000_000
 STRIPE_BYTES = 8_000_000
 ROWS_PER_INDEX = 1_000
 # Pieces of text whose ids a worker remembers, some 40 bytes each; beyond that it starts over.
@@ -176,14 +177,17 @@ def write(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id: int
                 )
 
     small_batches(docs)
-    files = docs.count() // FILE_ROWS + 1
-    files = max(files, docs.sparkSession.sparkContext.defaultParallelism)
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    files = max(total // FILE_BYTES + 1, docs.sparkSession.sparkContext.defaultParallelism)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("tie"),
+        # The same whenever a task reads its part of a stored table again.
+        F.monotonically_increasing_id().alias("place"),
         "text",
     )
-    rows = rows.repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    order = ["doc_id", "tie", "place"]
+    rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     rows = rows.mapInArrow(encoded, "doc_id long, tie long, ids array<int>")
     (
         rows.write.option("orc.compress", "ZSTD")
@@ -203,8 +207,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def report(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Write the files, read them back, and tell where each document's ids begin.
 
-    Starts need a running sum over all documents. Each file is summed on its own; only one total per
-    file is brought into order on the driver.
+    Starts need a running sum over all documents. Each file is summed on its own, and the totals, a row
+    per file, are summed in the order of the files.
     """
     spark = docs.sparkSession
     path = path or scratch(spark, "tokens") + ".orc"
@@ -229,13 +233,11 @@ def report(docs: DataFrame, path: str | None = None) -> DataFrame:
     rows = rows.mapInArrow(
         digest, "doc_id long, tie long, file string, n_tokens long, ids_crc32 long"
     )
-    totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).collect()
-    before, starts = 0, []
-    for name, n in sorted((r["file"], r["n"]) for r in totals):
-        starts.append((name, before))
-        before += n
-    # A row per file.
-    offsets = F.broadcast(spark.createDataFrame(starts, "file string, file_start long"))
+    totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"))
+    # Files are numbered; their names sort like the numbers only as long as all have five digits.
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    before = F.sum("n").over(Window.orderBy(number).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select("file", F.coalesce(before, F.lit(0)).alias("file_start"))
     order = Window.partitionBy("file").orderBy("doc_id", "tie", "n_tokens", "ids_crc32")
     earlier = F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1))
     return rows.join(offsets, "file").select(

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerline.llm.frames import row_key, stored
+from ledgerline.operators import keyed
 
 ASSIGN, ACCESS, HEX, MIXED, LIVE = "assign", "access", "hex", "mixed", "live"
 
@@ -105,18 +106,22 @@ def _key(owner: str = "source", repository: str = "lang") -> list[Column]:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Distinct owners and repositories of each value; a popular value is reduced step by step."""
-    return (
+    """Distinct owners and repositories of each value; a popular value is reduced step by step.
+
+    One row per value, for use as the unique side of a join that splits a popular value between tasks.
+    """
+    of_owner = (
         found.groupBy("value", "owner", "repository")
         .agg(F.count("*").alias("uses"))
         .groupBy("value", "owner")
         .agg(F.count("*").alias("repositories"), F.sum("uses").alias("uses"))
-        .groupBy("value")
-        .agg(
-            F.count("*").alias("n_owners"),
-            F.sum("repositories").alias("n_repositories"),
-            F.sum("uses").alias("n_uses"),
-        )
+    )
+    return keyed(
+        of_owner,
+        "value",
+        F.count("*").alias("n_owners"),
+        F.sum("repositories").alias("n_repositories"),
+        F.sum("uses").alias("n_uses"),
     )
 
 
