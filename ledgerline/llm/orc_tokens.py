@@ -12,7 +12,6 @@ are told apart by the hash, and equal rows by their place in the input, so range
 
 from __future__ import annotations
 
-import ctypes
 import os
 import zlib
 from collections.abc import Iterator
@@ -151,16 +150,6 @@ class Encoder:
         return [ids[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
 
 
-# The C library keeps freed memory for the process, also what earlier stages of a long-lived worker used.
-_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-
-
-def give_back() -> None:
-    """Return freed memory to the machine, where the C library can."""
-    if _trim:
-        _trim(0)
-
-
 _encoders: dict[str, Encoder] = {}
 
 
@@ -186,7 +175,6 @@ def write(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id: int
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("tie"), ids], ["doc_id", "tie", "ids"]
                 )
-            give_back()
 
     small_batches(docs)
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0

@@ -6,6 +6,7 @@ run over the block as array operations, so a task pays per byte and not per Pyth
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,6 +129,17 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
+# The C library keeps what numpy has freed, up to the peak of any earlier stage.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """A worker lives on between tasks; what it does not need goes back to the machine."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of a batch with about `limit` bytes of text each, at least one row."""
     if not batch.num_rows:
@@ -139,8 +151,7 @@ def blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iter
     cuts = [0, *(np.flatnonzero(np.diff(label)) + 1), batch.num_rows]
     for low, high in zip(cuts, cuts[1:]):
         yield batch.slice(low, high - low)
-    # A worker lives on between tasks; what it does not need goes back to the machine.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def span_hashes(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
