@@ -4,8 +4,9 @@ The index is cut by documents: a shard holds some whole texts, and for each of i
 word positions at which the term stands. It is written to the shared folder, so it outlives executors
 and serves several phrase sets. Phrases are looked up shard by shard: the positions of a phrase's rarest
 term, counted over the whole corpus, are shifted to the phrase's start and then intersected with the
-lists of its other terms, the next rarest first. With `slop` 0 a match is the exact phrase; with more,
-every other term may stand up to `slop` words off its place.
+lists of its other terms, the next rarest first (of equally rare ones, the earlier in the phrase). With
+`slop` 0 a match is the exact phrase; with more, every other term may stand up to `slop` words off its
+place, in the same document.
 
 Defined cases: a null or empty text has no words and no match; an item without words has no phrase; an
 item with fewer words than a phrase is one phrase. A null item_id reads as the empty string. Rows of
@@ -20,12 +21,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.llm.frames import row_key, small_batches, stored, whole_rows
 from ledgerline.llm.text import ALNUM, TextBlock, blocks
 
 PHRASE_WORDS = 10
+# Words that a term may be off its place in the proximity matches of the registered query.
+NEAR = 2
 # Phrases looked up in one pass over the index: what a pass ships to each task is bounded by this.
 PASS_PHRASES = 100_000
 # Bytes of text in a shard, so that one shard's lists fit a task; a longer text has its own shard.
@@ -114,9 +117,8 @@ def phrases(items: DataFrame, size: int = PHRASE_WORDS) -> DataFrame:
     return runs.groupBy("terms").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
 
 
-MATCH = (
-    "shard long, doc_no long, item_id string, start long, stop long"
-)
+# Without an item, the range is covered by matches of any items.
+MATCH = "slop int, shard long, doc_no long, item_id string, start long, stop long"
 
 
 def _lookup(ids, doc_of, phrase_terms, offsets, anchors, lists, slop):
@@ -152,18 +154,21 @@ def _lookup(ids, doc_of, phrase_terms, offsets, anchors, lists, slop):
 def matches(postings: DataFrame, wanted: DataFrame, slop: int = 0) -> DataFrame:
     """Every run of words of a document covered by matches of one item, as word ranges [start, stop).
 
-    `wanted` comes from `phrases`. It is worked off in passes of about PASS_PHRASES phrases; only one
-    pass's phrases and the corpus counts of their terms are on the driver at a time.
+    `wanted` comes from `phrases`. It is worked off in passes of about PASS_PHRASES phrases, whose matches
+    are written before the next pass is planned; only one pass's phrases and the corpus counts of their
+    terms are on the driver at a time.
     """
-    spark = postings.sparkSession
+    return _found(postings, wanted, (slop,)).where("item_id IS NOT NULL").drop("slop")
+
+
+def _found(postings: DataFrame, wanted: DataFrame, slops: tuple[int, ...]) -> DataFrame:
+    """Matches for several slops, which share one reading of the index."""
     wanted = stored(wanted, "phrases")
     passes = -(-wanted.count() // PASS_PHRASES)
-    found = [_pass(postings, part, slop) for part in _parts(wanted, passes)]
-    if not found:
-        return spark.createDataFrame([], MATCH)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+    out = postings.sparkSession.createDataFrame([], MATCH)
+    for part in _parts(wanted, passes):
+        if part:
+            out = out.unionByName(stored(_pass(postings, part, slops), "matches"))
     return out
 
 
@@ -173,7 +178,7 @@ def _parts(wanted: DataFrame, passes: int) -> Iterator[list]:
         yield sorted(part.collect(), key=lambda r: r["terms"])
 
 
-def _pass(postings: DataFrame, rows: list, slop: int) -> DataFrame:
+def _pass(postings: DataFrame, rows: list, slops: tuple[int, ...]) -> DataFrame:
     spark = postings.sparkSession
     vocabulary = sorted({t for r in rows for t in r["terms"]})
     # At most PASS_PHRASES * PHRASE_WORDS numbers by construction.
@@ -212,30 +217,33 @@ def _pass(postings: DataFrame, rows: list, slop: int) -> DataFrame:
             k = int(np.searchsorted(vocabulary, term))
             lists[k], ids[at] = at, k
         shard = of["shard"][0].as_py()
-        found = [(np.empty(0, np.int64),) * 3]
-        if len(phrase_terms) and len(ids):
-            anchors = phrase_terms[:, 0]
-            found += list(_lookup(ids, doc_of, phrase_terms, offsets, anchors, lists, slop))
-        phrase, doc, start = (np.concatenate(x) for x in zip(*found))
-        length = (phrase_terms[phrase] >= 0).sum(axis=1)
-        stop = np.minimum(start + length, (first + counts)[doc])
-        start = np.maximum(start, first[doc])
-        spans: dict[tuple[int, str], list] = {}
-        each = zip(phrase.tolist(), doc.tolist(), start.tolist(), stop.tolist())
-        for p, d, s, e in sorted(each, key=lambda x: x[2]):
-            for item in items[p]:
-                own = spans.setdefault((d, item), [])
-                if own and s <= own[-1][1]:
-                    own[-1][1] = max(own[-1][1], e)
-                else:
-                    own.append([s, e])
-        out = [
-            (shard, doc, item, a - int(first[doc]), b - int(first[doc]))
-            for (doc, item), own in spans.items()
-            for a, b in own
-        ]
-        columns = list(zip(*out)) or [[]] * 5
-        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        out = []
+        for slop in slops:
+            found = [(np.empty(0, np.int64),) * 3]
+            if len(phrase_terms) and len(ids):
+                anchors = phrase_terms[:, 0]
+                found += list(_lookup(ids, doc_of, phrase_terms, offsets, anchors, lists, slop))
+            phrase, doc, start = (np.concatenate(x) for x in zip(*found))
+            length = (phrase_terms[phrase] >= 0).sum(axis=1)
+            stop = np.minimum(start + length, (first + counts)[doc])
+            start = np.maximum(start, first[doc])
+            spans: dict[tuple, list] = {}
+            order = np.argsort(start, kind="stable")
+            each = (x[order].tolist() for x in (phrase, doc, start, stop))
+            for p, d, s, e in zip(*each):
+                for item in (None, *items[p]):
+                    own = spans.setdefault((d, item), [])
+                    if own and s <= own[-1][1]:
+                        own[-1][1] = max(own[-1][1], e)
+                    else:
+                        own.append([s, e])
+            out += [
+                (slop, shard, doc, item, a - int(first[doc]), b - int(first[doc]))
+                for (doc, item), own in spans.items()
+                for a, b in own
+            ]
+        columns = list(zip(*out)) or [[]] * 6
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
         return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     headers = postings.where("term IS NULL").select("shard", "words")
@@ -243,16 +251,31 @@ def _pass(postings: DataFrame, rows: list, slop: int) -> DataFrame:
     return both.groupBy("shard").applyInArrow(in_shard, MATCH)
 
 
-def report(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Per document its words, the words within matches, and the items that match."""
+def _covered(spans: Column) -> Column:
+    """Number of words in an array of ranges that may overlap."""
+    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
+
+    def add(done: Column, span: Column) -> Column:
+        fresh = F.greatest(span["stop"] - F.greatest(span["start"], done["end"]), F.lit(0))
+        return F.struct(
+            F.greatest(done["end"], span["stop"]).alias("end"), (done["n"] + fresh).alias("n")
+        )
+
+    return F.aggregate(F.array_sort(spans), start, add, lambda done: done["n"])
+
+
+def report(docs: DataFrame, items: DataFrame, near: int = 0) -> DataFrame:
+    """Per document its words, the words within exact matches, and the items that match.
+
+    With `near`, also the number of items with a match whose words are up to so many off their places.
+    """
     postings = index(docs)
-    found = matches(postings, phrases(items)).groupBy("shard", "doc_no").agg(
-        F.size(
-            F.array_distinct(
-                F.flatten(F.collect_list(F.sequence("start", F.col("stop") - F.lit(1))))
-            )
-        ).alias("n_hit"),
-        F.array_sort(F.collect_set("item_id")).alias("items"),
+    exact, item = F.col("slop") == 0, F.col("item_id").isNotNull()
+    found = _found(postings, phrases(items), (0, near) if near else (0,))
+    found = found.groupBy("shard", "doc_no").agg(
+        _covered(F.collect_list(F.when(exact & ~item, F.struct("start", "stop")))).alias("n_hit"),
+        F.array_sort(F.collect_set(F.when(exact, F.col("item_id")))).alias("items"),
+        F.size(F.collect_set(F.when(~exact, F.col("item_id")))).alias("n_near_items"),
     )
     rows = postings.where("term IS NULL").select(
         "shard", F.posexplode(F.arrays_zip("doc_ids", "keys_a", "keys_b", "words"))
@@ -260,6 +283,7 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     rows = rows.select("shard", F.col("pos").cast("long").alias("doc_no"), "col.*")
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce(F.col("n_hit").cast("long"), F.lit(0).cast("long"))
+    n_near = F.coalesce(F.col("n_near_items").cast("long"), F.lit(0).cast("long"))
     return rows.join(found, ["shard", "doc_no"], "left").select(
         F.col("doc_ids").alias("doc_id"),
         F.col("words").alias("n_words"),
@@ -267,6 +291,7 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.size(items_of).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_of, ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
+        *([n_near.alias("n_near_items")] if near else []),
         F.col("keys_a").alias("key_a"),
         F.col("keys_b").alias("key_b"),
     )

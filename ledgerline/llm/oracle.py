@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import chat, secrets
+from ledgerline.llm import chat, decontaminate, secrets
 
 _LOWER = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -60,10 +60,30 @@ WITH d AS MATERIALIZED (
 ), found AS (
     SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
     FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid
+), placed AS MATERIALIZED (
+    SELECT rid, unnest(w) AS word, unnest(range(len(w))) AS place FROM d
+), df AS (
+    SELECT word, count(*) AS n FROM placed GROUP BY word
+), terms AS MATERIALIZED (
+    SELECT DISTINCT p, unnest(p) AS term, unnest(range(len(p))) AS j FROM phrases
+), anchors AS (
+    SELECT p, arg_min({{'term': term, 'j': j}}, {{'n': n, 'j': j}}) AS rarest
+    FROM terms JOIN df ON word = term GROUP BY p
+), starts AS (
+    SELECT rid, p, place - rarest.j AS start FROM anchors JOIN placed ON word = rarest.term
+), near AS (
+    SELECT starts.rid, starts.p
+    FROM starts JOIN terms ON terms.p = starts.p
+    JOIN placed ON placed.rid = starts.rid AND word = term AND place - j BETWEEN start - {decontaminate.NEAR}
+        AND start + {decontaminate.NEAR}
+    GROUP BY starts.rid, starts.p, start HAVING count(DISTINCT j) = len(starts.p)
+), close AS (
+    SELECT rid, count(DISTINCT item) AS n_near_items FROM near JOIN phrases USING (p) GROUP BY rid
 )
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-    sha256(coalesce(list, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM d LEFT JOIN words USING (rid) LEFT JOIN found USING (rid)"""
+    sha256(coalesce(list, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+    coalesce(n_near_items, 0) AS n_near_items
+FROM d LEFT JOIN words USING (rid) LEFT JOIN found USING (rid) LEFT JOIN close USING (rid)"""
 
 _FOUND = "\n    UNION ALL ".join(
     f"SELECT rid, '{kind}' AS kind, regexp_extract_all(t, '{quoted}') AS m,"

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import EDGES, LONG, SPACED, counted, docs, edges, labels, leaks, nothing
+from helpers import ALNUM, EDGES, LONG, SPACED, counted, docs, edges, labels, leaks, lower, nothing
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -135,6 +135,49 @@ def test_proximity_at_the_edges_of_documents(spark):
     assert decontaminate.matches(postings, decontaminate.phrases(items)).count() == 0
 
 
+def near_items(rows, items, slop):
+    """Number of items with a proximity match per document, by trying every place of the rarest word."""
+    texts = [ALNUM.findall(lower(text)) for _, text, *_ in rows]
+    df = Counter(w for words in texts for w in words)
+    found = [set() for _ in rows]
+    for item, text in items:
+        own = ALNUM.findall(lower(text))
+        for k in range(max(len(own) - 9, min(len(own), 1))):
+            p = own[k : k + 10]
+            rarest = min(range(len(p)), key=lambda j: (df[p[j]], j))
+            for words, names in zip(texts, found):
+                for at in (i for i, w in enumerate(words) if w == p[rarest]):
+                    places = [at - rarest + j for j in range(len(p))]
+                    if all(p[j] in words[max(x - slop, 0) : max(x + slop + 1, 0)] for j, x in enumerate(places) if j != rarest):
+                        names.add("" if item is None else str(item))
+    return sorted(((r[0], len(names)) for r, names in zip(rows, found)), key=repr)
+
+
+def test_report_counts_items_with_proximity_matches(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"v{k}" for k in range(40)]
+    text = lambda n: " ".join(rng.choices(words, k=n))
+    items = [(k, text(rng.randrange(1, 25))) for k in range(12)] + [(3, text(14)), (12, ""), (13, None), (None, text(12))]
+    rows = EDGES + [(k, text(rng.randrange(0, 60))) for k in range(100, 130)]
+    # Items with words swapped, left out and put in, at both edges of a document and inside.
+    for k, (_, own) in enumerate(items[:12]):
+        w = own.split()
+        swapped = w[1::-1] + w[2:]
+        rows += [(200 + k, " ".join(swapped)), (300 + k, " ".join([*w[:4], "new", *w[4:]])), (400 + k, "a b " + " ".join(w[:3] + w[4:]) + " c")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    expected, frame = near_items(rows, items, 2), docs(spark, rows, clashing=True)
+    got = decontaminate.report(frame, table, near=2)
+    assert counted(got, "doc_id", "n_near_items") == expected
+    assert counted(got, *LEAKS) == leaks(rows, items)
+    assert sum(n for _, n in expected) > sum(r[3] for r in leaks(rows, items))
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 200)
+    monkeypatch.setattr(decontaminate, "PASS_PHRASES", 30)
+    monkeypatch.setattr(decontaminate, "TESTED_AT_ONCE", 7)
+    got = decontaminate.report(frame, table, near=2)
+    assert counted(got, "doc_id", "n_near_items") == expected
+    assert counted(got, *LEAKS) == leaks(rows, items)
+
+
 def test_decontamination_of_nothing(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.report(nothing(spark), items).count() == 0
