@@ -276,7 +276,10 @@ def _parts(table: DataFrame, parts: int) -> Iterator[tuple[np.ndarray, np.ndarra
 
 
 def scores(docs: DataFrame) -> DataFrame:
-    """Per row: held_out, tokens, known tokens, training tokens, unigram score and model score."""
+    """Per row: held_out, tokens, known tokens, training tokens, unigram score and model score.
+
+    And the text's length in bytes, with the end symbol, and the model's code length per byte in bits.
+    """
     spark = docs.sparkSession
     small_batches(docs)
     gram_counts, word_counts = _gather(docs)
@@ -293,7 +296,7 @@ def scores(docs: DataFrame) -> DataFrame:
         row_key("doc_id", "text").alias("k"),
         "text",
     ).select("doc_id", "held_out", "k.a", "k.b", "text")
-    out_names = ["doc_id", "held_out", "a", "b", "n_tokens", "n_known", "words", "score"]
+    out_names = ["doc_id", "held_out", "a", "b", "n_tokens", "n_bytes", "n_known", "words", "score"]
 
     def scored(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,6 +319,7 @@ def scores(docs: DataFrame) -> DataFrame:
                         [
                             *(part.column(c) for c in out_names[:4]),
                             pa.array(found.counts + 1),
+                            pa.array(np.diff(block.offsets) + 1),
                             pa.array((add(value > 0) + (end > 0)).astype(np.int64)),
                             pa.array(add(value) + end),
                             pa.array(score),
@@ -326,8 +330,8 @@ def scores(docs: DataFrame) -> DataFrame:
         return run
 
     schema = (
-        "doc_id long, held_out boolean, a long, b long, n_tokens long, n_known long,"
-        " words double, score double"
+        "doc_id long, held_out boolean, a long, b long, n_tokens long, n_bytes long,"
+        " n_known long, words double, score double"
     )
     done = []
     for part in zip_longest(_parts(probabilities, gram_parts), _parts(words, word_parts)):
@@ -339,7 +343,7 @@ def scores(docs: DataFrame) -> DataFrame:
             rows = rows.unionByName(more)
         # Equal rows share a key; each pass has all of them.
         copies = F.count("*") / F.lit(passes)
-        rows = rows.groupBy("doc_id", "held_out", "a", "b", "n_tokens").agg(
+        rows = rows.groupBy("doc_id", "held_out", "a", "b", "n_tokens", "n_bytes").agg(
             (F.sum("n_known") / copies).cast("long").alias("n_known"),
             (F.sum("words") / copies).alias("words"),
             (F.sum("score") / copies).alias("score"),
@@ -354,4 +358,6 @@ def scores(docs: DataFrame) -> DataFrame:
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("words") - F.col("n_tokens") * F.lit(all_)).alias("base_score"),
         "score",
+        "n_bytes",
+        (F.col("score") / F.col("n_bytes") * F.lit(-math.log2(10))).alias("bits_per_byte"),
     )

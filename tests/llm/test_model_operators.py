@@ -172,6 +172,8 @@ def test_context_tree_matches_a_walk_through_the_trees(spark):
         assert (got[k]["held_out"], got[k]["train_tokens"]) == (held[k], n)
         assert got[k]["base_score"] == pytest.approx(sum(math.log10((words[w] + 1) / (n + v + 1)) for w in own))
         assert got[k]["score"] == pytest.approx(tree_probability(training, t, context_tree.DEPTH))
+        assert got[k]["n_bytes"] == len((t or "").encode()) + 1
+        assert got[k]["bits_per_byte"] == pytest.approx(-got[k]["score"] * math.log2(10) / got[k]["n_bytes"])
 
 
 def test_probabilities_of_all_next_bytes_add_up():
