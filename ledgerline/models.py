@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.functions import text_key
@@ -28,11 +28,39 @@ WAVES = (
 )
 
 
+# What several marts and checks read.
+SHARED = ("flagged_subscriptions", "issues_invoices", "int_subscriptions", "int_paid_invoices_eur")
+
+
+class SharedRelations:
+    """A `keep` under which the separate queries of a session compute what they share once.
+
+    Spark knows a kept relation by what it computes, not by the frame it came from: another `Models` over
+    the same tables, with the same options, reads it too. The rows are on the executors' disks, and those of
+    a lost executor are computed again. The end of the `with` block lets go of all of them.
+    """
+
+    def __init__(self):
+        self._kept: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        if name in SHARED:
+            self._kept.append(df.persist(StorageLevel.DISK_ONLY))
+        return df
+
+    def __enter__(self) -> SharedRelations:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        while self._kept:
+            self._kept.pop().unpersist()
+
+
 class Models:
     """Lazy relations over `raw`; nothing runs until one is acted on.
 
     `keep` is applied to the marts, the issue tables and whatever several others read: the identity
-    in a single query, a write to shared storage in a refresh. With `normalize_keys` ids are trimmed before anything else;
+    in a single query, a write to shared storage in a refresh, `SharedRelations` in a session of queries. With `normalize_keys` ids are trimmed before anything else;
     by default ids are compared as they arrived, and a padded id is an id of its own.
     """
 

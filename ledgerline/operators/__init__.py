@@ -1,3 +1,4 @@
+from ledgerline.operators.bitmaps import maybe_in
 from ledgerline.operators.keys import any_of, first_per_key, keyed, sql_not_in, union_all, with_row_id
 from ledgerline.operators.picks import current_status
 
@@ -6,6 +7,7 @@ __all__ = [
     "current_status",
     "first_per_key",
     "keyed",
+    "maybe_in",
     "sql_not_in",
     "union_all",
     "with_row_id",

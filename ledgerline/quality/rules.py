@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.functions import as_of_date, is_blank, is_not_an_email, label
 from ledgerline.models import Models
-from ledgerline.operators import keyed
+from ledgerline.operators import keyed, maybe_in
 from ledgerline.quality.checks import (
     ERROR,
     WARN,
@@ -147,16 +147,13 @@ def mrr_equals_ltv(fct_mrr: DataFrame, customer_ltv: DataFrame) -> Check:
 def no_quarantined_revenue(paid_invoices: DataFrame, issues_invoices: DataFrame) -> Check:
     """Revenue rows whose invoice is withheld.
 
-    Every offending pair counts, as several withheld rows may share an invoice id.
+    Every offending pair counts, as several withheld rows may share an invoice id. Sound revenue is
+    nearly all of it and stops at the scan, by a bitmap of the withheld ids; the join is for the rest.
     """
-    withheld = keyed(
-        issues_invoices.where("excluded_from_marts"),
-        "invoice_id",
-        F.count(F.lit(1)).alias("n_records"),
-    )
-    rows = paid_invoices.select("invoice_id", "subscription_id", "amount_eur").join(
-        withheld, "invoice_id"
-    )
+    withheld = issues_invoices.where("excluded_from_marts")
+    counted = keyed(withheld, "invoice_id", F.count(F.lit(1)).alias("n_records"))
+    revenue = paid_invoices.select("invoice_id", "subscription_id", "amount_eur")
+    rows = maybe_in(revenue, "invoice_id", withheld).join(counted, "invoice_id")
     return Check(
         "no_quarantined_revenue",
         "int_paid_invoices_eur",

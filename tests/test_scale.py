@@ -7,8 +7,9 @@ import pytest
 from billing import customer, rows, subscription
 from pyspark.sql import functions as F
 
-from ledgerline.models import Models
-from ledgerline.operators import first_per_key, keyed, sql_not_in
+from ledgerline.models import Models, SharedRelations
+from ledgerline.operators import first_per_key, keyed, maybe_in, sql_not_in
+from ledgerline.quality.rules import mrr_equals_ltv, no_quarantined_revenue
 
 N = 120_000
 
@@ -161,8 +162,6 @@ def test_lineitem_is_read_twice_for_the_revenue(spark):
 
 
 def test_a_hot_withheld_invoice_is_split_between_tasks(spark, no_broadcast, tmp_path):
-    from ledgerline.quality.rules import no_quarantined_revenue
-
     hot = F.when(F.col("id") % 3 == 0, "I0").otherwise(F.concat(F.lit("I"), F.col("id")))
     invoice = spark.range(N).select(
         hot.alias("invoice_id"), F.lit("S1").alias("subscription_id"), F.xxhash64("id").alias("amount_eur")
@@ -214,3 +213,70 @@ def test_the_suite_reads_each_table_a_few_times(spark, skewed):
     failures = {r["check_name"]: r["failures"] for r in rows(checks.summarise(suite))}
     for check in suite:
         assert failures[check.name] == check.rows.agg(check.failures.alias("n")).first()["n"]
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 10, 1 << 15, 1 << 22])
+def test_a_key_bitmap_loses_no_match(spark, bits):
+    """Whatever its size, also when it holds too many keys to tell any apart, and with NULL keys."""
+    ids = F.when(F.col("id") % 7 > 0, F.concat(F.lit("I"), "id")).alias("k")
+    left, right = spark.range(20_000).select(ids), spark.range(0, 20_000, 50).select(ids, "id")
+    kept = maybe_in(left, "k", right, bits)
+    assert kept.columns == ["k"]
+    joined = sorted(r["k"] for r in left.join(right, "k").collect())
+    assert sorted(r["k"] for r in kept.join(right, "k").collect()) == joined and len(joined) == 342
+    n = kept.count()
+    assert n == 20_000 if bits <= 1 << 10 else 342 <= n < 1000
+
+
+def test_a_key_bitmap_of_nothing(spark):
+    left = spark.createDataFrame([("a",), (None,)], "k string")
+    assert maybe_in(left, "k", left.limit(0)).where("k IS NOT NULL").count() == 0
+    assert maybe_in(left.limit(0), "k", left).count() == 0
+
+
+def test_sound_revenue_stops_at_the_scan(spark, no_broadcast, tmp_path):
+    """Of all paid invoices, those that may be withheld are shuffled, and the check still finds them."""
+    invoice = spark.range(N).selectExpr("concat('I', id) AS invoice_id", "'S1' AS subscription_id", "id AS amount_eur")
+    invoice.repartition(8).write.parquet(f"{tmp_path}/paid")
+    withheld = spark.range(0, 2 * N, 1000).selectExpr("concat('I', id) AS invoice_id", "true AS excluded_from_marts")
+    check = no_quarantined_revenue(spark.read.parquet(f"{tmp_path}/paid"), withheld)
+    plan = final_plan(check.rows)
+    assert check.rows.agg(check.failures.alias("n")).first()["n"] == N // 1000
+    lines = plan.splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    (scan,) = [k for k, line in enumerate(lines) if "FileScan" in line and "/paid" in line]
+    assert "getbit" in lines[scan].split("DataFilters")[1].split("Format")[0], plan
+    # The exchange of the join only gets what the filter right above the scan lets through.
+    test = max(k for k in range(scan) if "Filter (" in lines[k] and "getbit" in lines[k] and depth[k] < depth[scan])
+    above = [lines[k] for k in range(test) if depth[k] < depth[test]]
+    assert "Exchange hashpartitioning(invoice_id" in above[-1], plan
+
+
+def leaves(frame) -> list:
+    found = frame._jdf.queryExecution().withCachedData().collectLeaves()
+    return [found.apply(k) for k in range(found.size())]
+
+
+def test_separate_queries_share_relations(spark, skewed):
+    """Each query has models of its own; the marts and a check of them read the revenue that the first kept."""
+
+    def queries(**options):
+        new = lambda: Models(skewed(), "2024-06-01", **options)
+        totals = mrr_equals_ltv(new().fct_mrr, new().customer_ltv).rows
+        return [new().fct_mrr, new().customer_ltv, no_quarantined_revenue(new().int_paid_invoices_eur, new().issues_invoices).rows, totals]
+
+    plain = [sorted(map(str, q.collect())) for q in queries()]
+    with SharedRelations() as keep:
+        got = queries(keep=keep)
+        assert [sorted(map(str, q.collect())) for q in got] == plain
+        built = set()
+        for query in got:
+            kept = [x for x in leaves(query) if x.nodeName() == "InMemoryRelation"]
+            assert kept and all(x.cacheBuilder().isCachedColumnBuffersLoaded() for x in kept)
+            revenue = [x for x in kept if "invoice_month" in x.output().mkString()]
+            built |= {x.cacheBuilder().hashCode() for x in revenue}
+            # Nothing but raw customers is read beside what is kept.
+            other = [x.toString() for x in leaves(query) if x.nodeName() not in ("InMemoryRelation", "Range")]
+            assert all("customer_name" in x for x in other), other
+        assert len(built) == 1
+    assert not [x for x in leaves(queries()[0]) if x.nodeName() == "InMemoryRelation"]
