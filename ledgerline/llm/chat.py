@@ -4,7 +4,8 @@ For each participant of a conversation the whole dialogue is rendered with that
 assistant and all others as named users; the training mask covers what the assistant says. The result
 has one row per perspective and turn: the segment, where it begins in the rendering, and the masked
 range, in code points. The segments of a perspective in order are its rendering, byte for byte, so no
-conversation, however long, has to be gathered into one string or one task.
+conversation, however long, has to be gathered into one string. Running sums go by parts of neighbouring
+turn numbers, each in one task; turns that share a number, or have none, are in one part.
 
 Defined cases: turns are ordered by number, nulls first, then by speaker and text. A null speaker is
 the participant `unknown`, a null text an empty one, and a null conv_id a conversation of its own.

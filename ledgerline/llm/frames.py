@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -25,14 +28,38 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+_workspace: ContextVar[str | None] = ContextVar("workspace", default=None)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that driver and executors share."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the one that driver and executors share, in the open workspace if there is one."""
+    return f"{_workspace.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """All that operators store inside the block goes with it.
+
+    Their results are lazy and read what is stored, so a caller writes those it wants before the block ends,
+    to a folder of its own, taken before the block began.
+    """
+    path = scratch(spark, "workspace")
+    opened = _workspace.set(path)
+    try:
+        yield
+    finally:
+        _workspace.reset(opened)
+        remove(spark, path)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = scratch(df.sparkSession, name)
+    path = path or scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -51,8 +78,7 @@ class Scratch:
     def drop(self, *names: str) -> None:
         """Remove tables by name, or all of them."""
         for path in [f"{self.folder}/{name}" for name in names] or [self.folder]:
-            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+            remove(self.spark, path)
 
 
 def whole_rows(docs: DataFrame, *beside: Column) -> DataFrame:

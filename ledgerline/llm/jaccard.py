@@ -316,14 +316,11 @@ def _representatives(docs: DataFrame, members: DataFrame, only: DataFrame) -> Da
 
 
 def packed(ngrams: np.ndarray) -> bytes:
-    """The upper six bytes of each n-gram, enough to tell those of two sets apart."""
-    return ngrams.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return ngrams.astype("<u8").tobytes()
 
 
 def unpacked(data: pa.Buffer) -> np.ndarray:
-    wide = np.zeros((data.size // 6, 8), dtype=np.uint8)
-    wide[:, :6] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
-    return wide.view(">u8").ravel().astype(np.uint64)
+    return np.frombuffer(data, dtype="<u8")
 
 
 def join_cell(

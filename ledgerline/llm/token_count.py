@@ -7,8 +7,9 @@ to right; of equal scores the longer last piece wins, as the library meets piece
 replaces only by a better one; a character without a piece of its own costs the lowest score less
 UNKNOWN_PENALTY; neighbouring unknown characters count as one token.
 
-White space becomes the mark U+2581, one mark is put in front of a text, as its word boundary, and no piece holds a mark after
-another character. So texts fall apart before each run of marks, and equal parts are counted once.
+Each space, and no other white space, becomes the mark U+2581; one more mark is put in front of every text,
+also of one that begins with a space, as its word boundary; and no piece holds a mark after another character.
+Runs of spaces are counted as the model sees them. So texts fall apart before each run of marks, and equal parts are counted once.
 
 Defined cases: a null or empty text has no tokens; a text of any length is counted whole.
 """

@@ -40,7 +40,8 @@ ONE_EDIT, TWO_EDITS = 5, 9
 # Texts a misspelling counts as seen in before training shows any, toxic and clean ones.
 PRIOR = (1.0, 0.3)
 WINDOW = 6
-CUES = 2_000
+# Texts of the sample a word has to stand near a hit in, to tell abuse from quotation.
+CUE_TEXTS = 5
 QUOTES = "\"“”„«»‘’`"
 STRIPPED = ".,;:!?()[]{}<>…'" + QUOTES
 # Words a worker remembers; beyond that it starts over.
@@ -225,9 +226,23 @@ def window(tokens: list[str], k: int) -> list[str]:
 
 
 def is_quoted(tokens: list[str], k: int) -> bool:
-    """A quotation mark opens a token before or at a hit, and one closes a token at or after it."""
-    opened = any(w[0] in QUOTES for w in tokens[max(k - WINDOW, 0) : k + 1])
-    return opened and any(w.rstrip(".,;:!?")[-1:] in set(QUOTES) for w in tokens[k : k + 1 + WINDOW])
+    """The nearest mark before a hit opens a quotation, and the nearest one after it closes one.
+
+    A mark in front of a token opens, one behind it closes, so a hit between two quotations is in neither.
+    """
+
+    def opens(w: str) -> bool:
+        return w[0] in QUOTES
+
+    def closes(w: str) -> bool:
+        return w.rstrip(".,;:!?")[-1:] in set(QUOTES)
+
+    before = reversed(tokens[max(k - WINDOW, 0) : k])
+    after = tokens[k + 1 : k + 1 + WINDOW]
+    opened = opens(tokens[k]) or next((not closes(w) for w in before if opens(w) or closes(w)), False)
+    return opened and (
+        closes(tokens[k]) or next((not opens(w) for w in after if opens(w) or closes(w)), False)
+    )
 
 
 def _log_odds(toxic: float, clean: float, a: float = 0.5, b: float = 0.5) -> float:
@@ -354,8 +369,9 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_TEXTS) -> Model:
         cues = {w for k in strong(model.hits(tokens)) for w in window(tokens, k)}
         return list(cues - {""})
 
-    common = _counted(sample, around).where("toxic + clean >= 5")
-    common = common.orderBy(F.desc(F.col("toxic") + F.col("clean")), "token").limit(CUES).collect()
+    # Words of a bounded sample.
+    common = _counted(sample, around).where(F.col("toxic") + F.col("clean") >= CUE_TEXTS)
+    common = common.orderBy("token").collect()
     hits = {y: sum(r[y] for r in common) + 1 for y in ("toxic", "clean")}
     for r in common:
         rate = _log_odds(r["toxic"], r["clean"], 2 * hits["toxic"] / hits["clean"], 2)

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 from itertools import product
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -27,9 +28,10 @@ from ledgerline.llm import (
     token_count,
     toxicity,
 )
-from ledgerline.llm.frames import stored
+from ledgerline.llm.frames import scratch, stored, workspace
 from ledgerline.llm.oracle import ORACLE_SQL
 from ledgerline.llm.text import TextBlock
+from ledgerline.session import shared_dir
 
 
 def near(rows, groups=False):
@@ -218,6 +220,15 @@ def test_lexicon_automaton_finds_the_nearest_term():
         assert automaton.match(word) == ((min(near_)[1], min(near_)[0]) if near_ else None)
 
 
+def test_a_hit_between_two_quotations_is_in_neither():
+    quoted = lambda text: toxicity.is_quoted(text.split(), text.split().index("term"))
+    assert not quoted('"a" term "b"') and not quoted('"a b" c term "d e"') and not quoted('term "a b"')
+    assert quoted('"a term b"') and quoted('x "a" "b term c."') and quoted('“a term b” “c”')
+    assert not quoted('"a term b') and not quoted('a term b"') and not quoted("term")
+    alone = lambda text, k=0: toxicity.is_quoted(text.split(), k)
+    assert alone('"term"') and alone('"term".') and alone('"term b"') and alone('"a term"', 1) and not alone('"term')
+
+
 def test_toxicity_learns_terms_spellings_and_quotation(spark):
     rng = random.Random(5)
     words = [f"{a}{b}{c}" for a, b, c in product("bdfg", "aeiou", "lmnr")] + ["you"]
@@ -407,6 +418,25 @@ def test_blocks_of_words_respect_texts():
     assert len(set(words.hashes().tolist())) == 4
 
 
+def test_the_pipeline_leaves_nothing_but_its_token_files(spark):
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = set(folder.iterdir()) - before
+    assert len(left) == 1 and next(iter(left)).suffix == ".orc"
+    assert out.count() > 0 and out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_a_workspace_goes_with_its_block(spark):
+    place = scratch(spark, "kept")
+    with pytest.raises(ValueError), workspace(spark):
+        frame = stored(spark.range(3), "inside")
+        kept = stored(frame, "outside", place)
+        (path,) = frame.inputFiles()
+        raise ValueError
+    assert kept.count() == 3 and not Path(path.removeprefix("file:")).exists()
+
+
 def test_pipeline_against_brute_force(spark):
     sf_dir = "/root/testdata/sf0.001"
     frame = spark.read.parquet(f"{sf_dir}/documents.parquet")

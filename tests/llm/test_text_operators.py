@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -225,6 +226,33 @@ def test_targets_refill_what_full_sources_leave():
     assert mixing.targets({}) == {} and mixing.targets({"a": 0}) == {"a": 0.0}
 
 
+def level_of(sizes, weights, total, most):
+    """Targets by the one level at which min(most * size, level * weight) adds up, in fractions.
+
+    The sum is linear between the levels at which a source is full, so the level is found between two.
+    """
+    def filled(level):
+        return [min(most * n, level * w) for n, w in zip(sizes, weights)]
+
+    stops = sorted({Fraction(most * n, w) for n, w in zip(sizes, weights)} | {Fraction(0)})
+    below = max(x for x in stops if sum(filled(x)) <= total)
+    slope = sum(w for n, w in zip(sizes, weights) if Fraction(most * n, w) > below)
+    return filled(below + (total - sum(filled(below))) / slope if slope else below)
+
+
+def test_targets_are_the_level_of_the_mix():
+    rng = random.Random(12)
+    for _ in range(400):
+        names = rng.sample(["", "a", "b", "Z", "é", "zz", "B", "10", "9", None], rng.randrange(1, 10))
+        sizes = {s: rng.choice([0, 1, rng.randrange(50), rng.randrange(10_000)]) for s in names}
+        order = sorted((s for s in names if s is not None), key=lambda s: [ord(c) for c in s])
+        order += [None] * (None in sizes)
+        total = Fraction(3, 2) * sum(sizes.values())
+        expected = level_of([sizes[s] for s in order], [(5, 2, 1)[k % 3] for k in range(len(order))], total, 2)
+        goal = mixing.targets(sizes)
+        assert [goal[s] for s in order] == pytest.approx([float(x) for x in expected])
+
+
 def test_pairing_keeps_the_sum_and_leaves_one():
     rng = np.random.default_rng(5)
     size = rng.integers(1, 500, 300).astype(float)
