@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import decontaminate, jaccard, mixing, orc_tokens, quality
-from ledgerline.llm.frames import documents, stored
+from ledgerline.llm.frames import documents, remove, scratch, stored, workspace
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +53,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs, f"stage{k}")
-    return docs
+    """The last stage's rows. What a stage has stored goes when its result is written, and that with the next one's.
+
+    The token files of the last stage stay: they are the product, and the result reads them.
+    """
+    docs, before = documents(spark, sf_dir), None
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        place = scratch(spark, f"stage{k}")
+        with workspace(spark):
+            docs = stored(stage(spark, docs, sf_dir), f"stage{k}", place)
+        if before:
+            remove(spark, before)
+        before = place
+    _, last = STAGES[-1]
+    result = last(spark, docs, sf_dir)
+    if before:
+        remove(spark, before)
+    return result
