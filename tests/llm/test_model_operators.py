@@ -429,11 +429,11 @@ def test_the_pipeline_leaves_nothing_but_its_token_files(spark):
 
 def test_a_workspace_goes_with_its_block(spark):
     place = scratch(spark, "kept")
-    with pytest.raises(ValueError), workspace(spark):
+    with pytest.raises(KeyError), workspace(spark):
         frame = stored(spark.range(3), "inside")
         kept = stored(frame, "outside", place)
-        (path,) = frame.inputFiles()
-        raise ValueError
+        path, *_ = frame.inputFiles()
+        raise KeyError("stop")
     assert kept.count() == 3 and not Path(path.removeprefix("file:")).exists()
 
 
