@@ -191,8 +191,9 @@ class Model:
         tokens = (text or "").lower().split()
         best: dict[tuple[bool, str], float] = {}
         hits = self.hits(tokens)
+        marked = bool(hits) and any(q in text for q in QUOTES)
         for k, value in hits:
-            quoted = is_quoted(tokens, k)
+            quoted = marked and is_quoted(tokens, k)
             best[quoted, tokens[k]] = value
             if value > 0:
                 x[3 if quoted else 2] += 1
