@@ -215,6 +215,63 @@ def test_the_suite_reads_each_table_a_few_times(spark, skewed):
         assert failures[check.name] == check.rows.agg(check.failures.alias("n")).first()["n"]
 
 
+@pytest.fixture(scope="module")
+def star(spark, tmp_path_factory):
+    """Tables for the billing projection: lines that repeat or have no order, others without a key."""
+    folder = str(tmp_path_factory.mktemp("star"))
+    key = F.when(F.col("id") % 97 > 0, F.col("id"))
+    tables = {
+        "nation": spark.createDataFrame([(0, "FRANCE")], "n_nationkey int, n_name string"),
+        "customer": spark.range(300).select(
+            key.alias("c_custkey"),
+            F.concat(F.lit("Customer#"), "id").alias("c_name"),
+            F.lit(0).alias("c_nationkey"),
+        ),
+        "orders": spark.range(2000).select(
+            key.alias("o_orderkey"),
+            (F.col("id") % 310).alias("o_custkey"),
+            F.element_at(F.array(*map(F.lit, "FOP")), (F.col("id") % 3 + 1).cast("int")).alias("o_orderstatus"),
+            F.lit("3-MEDIUM").alias("o_orderpriority"),
+            F.lit("1995-01-01").cast("timestamp").alias("o_orderdate"),
+        ),
+        "lineitem": spark.range(6000).select(
+            (F.col("id") * 11 % 2100).alias("l_orderkey"),
+            (F.col("id") % 3).cast("int").alias("l_linenumber"),
+            (F.col("id") % 100).alias("l_suppkey"),
+            (F.col("id") % 9 * 10.5).alias("l_extendedprice"),
+            F.element_at(F.array(*map(F.lit, "ANR")), (F.col("id") % 3 + 1).cast("int")).alias("l_returnflag"),
+            F.lit("1995-02-01").cast("timestamp").alias("l_shipdate"),
+        ),
+    }
+    for name, frame in tables.items():
+        frame.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_the_suite_derives_invoices_once(spark, star):
+    """Whatever follows the flagged invoices reads them, and no line item a second time."""
+    from ledgerline.workload.queries import QUERIES
+
+    read = QUERIES["dq_suite_report"](spark, star).inputFiles()
+    assert any("flagged_invoices" in path for path in read)
+    assert not [path for path in read if "lineitem.parquet" in path]
+
+
+def test_kept_invoices_are_the_raw_ones(spark, star):
+    from ledgerline.quality import checks, rules
+    from ledgerline.workload.queries import _kept_models, _models
+
+    plain, kept = _models(spark, star), _kept_models(spark, star)
+    assert kept.raw_as_read["invoices"].columns == plain.raw["invoices"].columns
+    invoices = [sorted(map(str, m.raw_as_read["invoices"].collect())) for m in (plain, kept)]
+    assert invoices[0] == invoices[1] and len(invoices[0]) > 2000
+    suites = [sorted(map(str, checks.summarise(rules.all_checks(m)).collect())) for m in (plain, kept)]
+    assert suites[0] == suites[1] and len(suites[0]) == 40
+    for name, mart in plain.marts.items():
+        expected = sorted(map(str, mart.collect()))
+        assert expected and sorted(map(str, kept.marts[name].collect())) == expected
+
+
 @pytest.mark.parametrize("bits", [64, 1 << 10, 1 << 15, 1 << 22])
 def test_a_key_bitmap_loses_no_match(spark, bits):
     """Whatever its size, also when it holds too many keys to tell any apart, and with NULL keys."""
