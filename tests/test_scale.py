@@ -215,6 +215,54 @@ def test_the_suite_reads_each_table_a_few_times(spark, skewed):
         assert failures[check.name] == check.rows.agg(check.failures.alias("n")).first()["n"]
 
 
+def test_keys_are_stacked_once_for_all_rules_about_them(spark, skewed):
+    """A parent's keys serve its own uniqueness and every rule that looks keys up in them."""
+    from ledgerline.quality import checks, rules
+
+    about_keys = [c for c in rules.raw_checks(skewed(), "2024-06-01") if c.stacked is not None]
+    plan = checks.summarise(about_keys)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(about_keys) == 5 and plan.count("struct(of") == 5, plan
+
+
+def test_rules_that_share_keys_keep_their_counts(spark):
+    from ledgerline.quality import checks
+
+    parent = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3), (None, 3)], "k string, n int")
+    first = spark.createDataFrame([("a",), ("x",), ("x",), (None,)], "k string")
+    second = spark.createDataFrame([("y", "1"), ("b", "9"), ("y", None)], "k string, n string")
+    suite = [
+        checks.relationships("first", checks.WARN, first, "k", parent, "k"),
+        checks.unique("parent", checks.WARN, parent, "k"),
+        checks.relationships("second", checks.WARN, second, "k", parent, "k"),
+        checks.relationships("second", checks.WARN, second, "n", parent, "n"),
+        checks.relationships("parent", checks.WARN, parent, "k", first, "k"),
+        checks.unique("first", checks.WARN, first, "k"),
+        checks.unique("parent", checks.WARN, parent, "n"),
+        checks.unique_combination("parent", checks.WARN, parent, ["k", "n"]),
+    ]
+    found = {r["check_name"]: r["failures"] for r in rows(checks.summarise(suite))}
+    assert found == {c.name: c.rows.agg(c.failures.alias("n")).first()["n"] for c in suite}
+    assert list(found.values()).count(0) == 0 and found["relationships_first_k"] == 2
+
+
+def test_amounts_of_a_pair_are_summed_as_numbers(spark, tmp_path):
+    """Exactly as decimals, each price rounded half up first, but with no object per line."""
+    from ledgerline.workload.projection import invoices
+
+    prices = [(1, 0.005), (1, 0.1), (1, 0.2), (2, 1.005), (2, -1.005), (2, None), (3, None), (4, 99999999.99), (4, 0.01)]
+    spark.createDataFrame(prices, "l_orderkey long, l_extendedprice double").selectExpr(
+        "*", "1 AS l_linenumber", "1L AS l_suppkey", "'A' AS l_returnflag", "timestamp '1995-01-01' AS l_shipdate"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = invoices(spark, str(tmp_path))
+    amounts = {r["invoice_id"]: r["amount"] for r in rows(found)}
+    assert {k[9]: None if v is None else str(v) for k, v in amounts.items()} == {
+        "1": "0.31", "2": "0.00", "3": None, "4": "100000000.00",
+    }
+    assert found.schema["amount"].dataType.simpleString() == "decimal(18,2)"
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "sum(cast((cast(l_extendedprice" in plan, plan
+
+
 @pytest.fixture(scope="module")
 def star(spark, tmp_path_factory):
     """Tables for the billing projection: lines that repeat or have no order, others without a key."""
